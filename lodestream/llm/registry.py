@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, packing, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc": warc.op1_warc,
         "op3_mix": mixing.op3_mix,
+        "op6_pack": packing.op6_pack,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc": warc.OP1_SQL,
         "op3_mix": mixing.OP3_SQL,
     }
