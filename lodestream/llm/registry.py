@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, warc
+from . import mixing, packing, quality, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1_warc,
         "op3_mix": mixing.op3_mix,
+        "op4_quality": quality.op4_quality,
         "op6_pack": packing.op6_pack,
     }
 
