@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, secrets, warc
+from . import extraction, mixing, packing, quality, secrets, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_mix": mixing.op3_mix,
         "op4_quality": quality.op4_quality,
         "op6_pack": packing.op6_pack,
+        "op7_extract": extraction.op7_extract,
         "op10_secrets": secrets.op10_secrets,
     }
 
