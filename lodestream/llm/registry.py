@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, mixing, packing, quality, secrets, warc
+from . import extraction, fingerprint, mixing, packing, quality, secrets, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_warc": warc.op1_warc,
         "op3_mix": mixing.op3_mix,
         "op4_quality": quality.op4_quality,
+        "op5_fingerprint": fingerprint.op5_fingerprint,
         "op6_pack": packing.op6_pack,
         "op7_extract": extraction.op7_extract,
         "op10_secrets": secrets.op10_secrets,
