@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, fingerprint, mixing, packing, quality, secrets, warc
+from . import extraction, fingerprint, mixing, packing, quality, secrets, substrings, warc
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_fingerprint": fingerprint.op5_fingerprint,
         "op6_pack": packing.op6_pack,
         "op7_extract": extraction.op7_extract,
+        "op8_substrings": substrings.op8_substrings,
         "op10_secrets": secrets.op10_secrets,
     }
 
