@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import extraction, fingerprint, mixing, packing, quality, secrets, substrings, warc
+from . import extraction, fingerprint, mixing, neardup, packing, quality, secrets, substrings, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1_warc,
+        "op2_neardup": neardup.op2_neardup,
         "op3_mix": mixing.op3_mix,
         "op4_quality": quality.op4_quality,
         "op5_fingerprint": fingerprint.op5_fingerprint,
