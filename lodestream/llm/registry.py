@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, fingerprint, mixing, neardup, packing, quality, secrets, substrings, warc
+from . import extraction, fingerprint, mixing, neardup, neighbours, packing, quality, secrets, substrings, warc
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op6_pack": packing.op6_pack,
         "op7_extract": extraction.op7_extract,
         "op8_substrings": substrings.op8_substrings,
+        "op9_neighbours": neighbours.op9_neighbours,
         "op10_secrets": secrets.op10_secrets,
     }
 
