@@ -80,16 +80,36 @@ def _unpack(block: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _answer(ids: np.ndarray, prints: np.ndarray, at: np.ndarray):
-    """Rows (id, print, packed positions), a row per text."""
+def _answer(ids: np.ndarray, prints: np.ndarray, at: np.ndarray, parts: int):
+    """Answers as blocks again, dealt by id: a row for each part, however many texts it is about."""
     import pyarrow as pa
 
-    order = np.lexsort((at, prints, ids))
-    ids, prints, at = ids[order], prints[order], at[order].astype(np.uint32)
-    cut = np.flatnonzero((ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])) + 1
-    heads = np.concatenate(([0], cut)).astype(int) if len(ids) else np.zeros(0, int)
-    packed = [x.tobytes() for x in np.split(at, cut)] if len(ids) else []
-    return pa.RecordBatch.from_arrays([pa.array(ids[heads], pa.int64()), pa.array(prints[heads], pa.int64()), pa.array(packed, pa.binary())], names=["id", "print", "at"])
+    part = (mix64(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((at, prints, ids, part))
+    ids, prints, at, part = ids[order], prints[order], at[order].astype(np.uint32), part[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])
+    owner = np.cumsum(new) - 1
+    rows, blocks = [], []
+    for here in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(part)) + 1) if len(ids) else []:
+        rows.append(int(part[here[0]]))
+        blocks.append(_block(b"\x01", ids[new], prints[new], owner[here], [at[here]]))
+    return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
+
+
+def _merge(batches):
+    """A row (id, print, packed positions) for each text that the blocks of a part answer."""
+    import pyarrow as pa
+
+    found = [_read_block(block, "<u4") for batch in batches for block in batch.column(1).to_pylist()]
+    if found:
+        ids, prints, at = map(np.concatenate, zip(*found, strict=True))
+        order = np.lexsort((at, prints, ids))
+        ids, prints, at = ids[order], prints[order], at[order]
+        cut = np.flatnonzero((ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])) + 1
+        heads = np.concatenate(([0], cut)).astype(int)
+        packed = [x.tobytes() for x in np.split(at, cut)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[heads], pa.int64()), pa.array(prints[heads], pa.int64()), pa.array(packed, pa.binary())], names=["id", "print", "at"])
 
 
 def _block(mark: bytes, ids: np.ndarray, prints: np.ndarray, owner: np.ndarray, columns: list[np.ndarray]) -> bytes:
@@ -111,7 +131,7 @@ def _emit(parts: int, ids: np.ndarray, prints: np.ndarray, keys: np.ndarray, own
 
     rows, blocks = [], []
     part = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((owner, part))  # owners in order pack better
     for rows_of in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
         rows.append(int(part[rows_of[0]]))
         blocks.append(_block(b"\x00", ids, prints, owner[rows_of], [c[rows_of] for c in columns]))
@@ -162,27 +182,34 @@ def _anchors(parts: int):
             alone[first[count == 1]] = True
             # a key that the batch repeats is sent once, for others to meet, and needs no answer
             asks = alone[first].astype(np.uint8)
-            yield _emit(parts, np.array(ids, np.int64), np.array(prints, np.int64), key[first], owner[first], [key[first], place[first], asks], (owner[~alone], place[~alone]), n)
+            # 40 bits of a key will do beside the part it is dealt to: a chance match costs a window judged in vain
+            low, high = key[first].astype(np.uint32), (key[first] >> np.uint64(32)).astype(np.uint8)
+            yield _emit(parts, np.array(ids, np.int64), np.array(prints, np.int64), key[first], owner[first], [low, high, place[first], asks], (owner[~alone], place[~alone]), n)
 
     return run
 
 
-def _repeated(batches):
+def _repeated(parts: int):
     """Positions of anchors that occur again, by text."""
-    sent, found = [], []
-    for batch in batches:
-        for block in batch.column(1).to_pylist():
-            if block[0]:
-                found.append(_read_block(block, "<u4"))
-            else:
-                sent.append(_read_block(block, "<u8", "<u4", "<u1"))
-    if sent:
-        ids, prints, key, place, asks = map(np.concatenate, zip(*sent, strict=True))
-        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-        again = (count[inverse] > 1) & (asks == 1)
-        found.append([ids[again], prints[again], place[again]])
-    if found:
-        yield _answer(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def run(batches):
+        sent, found = [], []
+        for batch in batches:
+            for block in batch.column(1).to_pylist():
+                if block[0]:
+                    found.append(_read_block(block, "<u4"))
+                else:
+                    sent.append(_read_block(block, "<u4", "<u1", "<u4", "<u1"))
+        if sent:
+            ids, prints, low, high, place, asks = map(np.concatenate, zip(*sent, strict=True))
+            key = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+            _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+            again = (count[inverse] > 1) & (asks == 1)
+            found.append([ids[again], prints[again], place[again]])
+        if found:
+            yield _answer(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
+
+    return run
 
 
 def candidate_windows(words: np.ndarray, answered: np.ndarray) -> np.ndarray:
@@ -202,8 +229,8 @@ def candidate_windows(words: np.ndarray, answered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge)[:n] > 0)
 
 
-def _flat(answers) -> np.ndarray:
-    return np.concatenate([np.frombuffer(a, "<u4") for a in answers]) if answers else np.zeros(0, np.uint32)
+def _flat(answer: bytes | None) -> np.ndarray:
+    return np.frombuffer(answer or b"", "<u4")
 
 
 def _two_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,21 +269,25 @@ def _windows(parts: int):
     return run
 
 
-def _later(batches):
+def _later(parts: int):
     """Positions of windows that start in a document with a smaller id too, by text."""
-    sent, found = [], []
-    for batch in batches:
-        for block in batch.column(1).to_pylist():
-            if block[0]:
-                found.append(_read_block(block, "<u4"))
-            else:
-                sent.append(_read_block(block, "<u8", "<u4", "<u4"))
-    if sent:
-        ids, prints, a, b, place = map(np.concatenate, zip(*sent, strict=True))
-        later = ids > _earlier(ids, a, b)
-        found.append([ids[later], prints[later], place[later]])
-    if found:
-        yield _answer(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def run(batches):
+        sent, found = [], []
+        for batch in batches:
+            for block in batch.column(1).to_pylist():
+                if block[0]:
+                    found.append(_read_block(block, "<u4"))
+                else:
+                    sent.append(_read_block(block, "<u8", "<u4", "<u4"))
+        if sent:
+            ids, prints, a, b, place = map(np.concatenate, zip(*sent, strict=True))
+            later = ids > _earlier(ids, a, b)
+            found.append([ids[later], prints[later], place[later]])
+        if found:
+            yield _answer(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
+
+    return run
 
 
 def covered(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -302,13 +333,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = max(8, -(-total // part_bytes))
 
     def dealt(blocks: DataFrame, reduce) -> DataFrame:
-        answers = blocks.repartitionById(parts, F.col("part")).mapInArrow(reduce, _ANSWERS)
-        return answers.groupBy("id", "print").agg(F.collect_list("at").alias("answers"))
+        answers = blocks.repartitionById(parts, F.col("part")).mapInArrow(reduce(parts), _BLOCKS)
+        return answers.repartitionById(parts, F.col("part")).mapInArrow(_merge, _ANSWERS)
 
     def joined(answers: DataFrame) -> DataFrame:
         known = answers.withColumnsRenamed({"id": "_id", "print": "_print"})
         same = (F.coalesce("id", F.lit(_LOWEST)) == F.col("_id")) & (F.col("print") == F.col("_print"))
-        return rows.join(known, same, "left").select("id", "print", "text", "answers")
+        return rows.join(known, same, "left").select("id", "print", "text", "at")
 
     again = dealt(rows.mapInArrow(_anchors(parts), _BLOCKS), _repeated)
     later = dealt(joined(again).mapInArrow(_windows(parts), _BLOCKS), _later)
