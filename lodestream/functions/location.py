@@ -34,6 +34,7 @@ def _default_countries() -> dict[str, str]:
     for code, name in pytz.country_names.items():
         shown = SHOWN.get(code, name)
         found[name.lower()] = found[shown.lower()] = found[code.lower()] = shown
+    found.pop("georgia")  # always read as the state
     return found | SPELLINGS
 
 

@@ -262,28 +262,30 @@ def probe(text: str | None, base: str = "") -> list[dict]:
     return rows if len(rows) >= 2 else []
 
 
-def _rows(lists: list[list[dict]]) -> pd.Series:
-    return pd.Series(lists)
+def _lists(read):
+    """An Arrow-batched function (value, base) from a reader of one value; made when it is used, as it needs a session."""
+    kind = "array<struct<" + ", ".join(f.replace(" ", ":") for f in JOB.split(", ")) + ">>"
 
+    def batch(values: pd.Series, base: pd.Series) -> pd.Series:
+        return pd.Series([read(v, u) for v, u in zip(values, base, strict=True)])
 
-@F.pandas_udf(f"array<struct<{', '.join(f.replace(' ', ':') for f in JOB.split(', '))}>>")
-def ld_json_postings(bodies: pd.Series, base: pd.Series) -> pd.Series:
-    return _rows([ld_jobs(b, u) for b, u in zip(bodies, base, strict=True)])
+    return F.pandas_udf(batch, kind)
 
 
-@F.pandas_udf(f"array<struct<{', '.join(f.replace(' ', ':') for f in JOB.split(', '))}>>")
-def microdata_postings(items: pd.Series, base: pd.Series) -> pd.Series:
-    return _rows([micro_jobs(b, u) for b, u in zip(items, base, strict=True)])
+def ld_json_postings(bodies: Column, base: Column) -> Column:
+    return _lists(ld_jobs)(bodies, base)
 
 
-@F.pandas_udf(f"array<struct<{', '.join(f.replace(' ', ':') for f in JOB.split(', '))}>>")
-def table_postings(tables: pd.Series, base: pd.Series) -> pd.Series:
-    return _rows([table_jobs(b, u) for b, u in zip(tables, base, strict=True)])
+def microdata_postings(items: Column, base: Column) -> Column:
+    return _lists(micro_jobs)(items, base)
 
 
-@F.pandas_udf(f"array<struct<{', '.join(f.replace(' ', ':') for f in JOB.split(', '))}>>")
-def probed_postings(payloads: pd.Series, base: pd.Series) -> pd.Series:
-    return _rows([probe(b, u) for b, u in zip(payloads, base, strict=True)])
+def table_postings(tables: Column, base: Column) -> Column:
+    return _lists(table_jobs)(tables, base)
+
+
+def probed_postings(payloads: Column, base: Column) -> Column:
+    return _lists(probe)(payloads, base)
 
 
 def from_pages(pages: DataFrame) -> DataFrame:
