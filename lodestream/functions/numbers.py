@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocabulary as V
-from .rules import FLAGS
+from .rules import FLAGS, let
 from .text import clean_text
 
 
@@ -18,17 +18,19 @@ def _plain(number: Column) -> Column:
 
 def parse_decimal(text: Column) -> Column:
     """The first number of a text: commas that set off three digits group, as does a lone point before three."""
-    found = F.regexp_extract(clean_text(text, 50), r"-?\d[\d,]*\.?\d*", 0)
-    commas, point = found.contains(","), found.contains(".")
-    grouped = found.rlike(r"^-?\d*(?:,\d{3})*$")
-    number = (
-        F.when(commas & point, F.replace(found, F.lit(","), F.lit("")))
-        .when(commas & grouped, F.replace(found, F.lit(","), F.lit("")))
-        .when(commas, F.replace(found, F.lit(","), F.lit(".")))
-        .when(found.rlike(r"^-?\d+\.\d{3}$"), F.replace(found, F.lit("."), F.lit("")))
-        .otherwise(found)
-    )
-    return _plain(number.try_cast("double"))
+
+    def read(found: Column) -> Column:
+        commas, point = found.contains(","), found.contains(".")
+        number = (
+            F.when(commas & point, F.replace(found, F.lit(","), F.lit("")))
+            .when(commas & found.rlike(r"^-?\d*(?:,\d{3})*$"), F.replace(found, F.lit(","), F.lit("")))
+            .when(commas, F.replace(found, F.lit(","), F.lit(".")))
+            .when(found.rlike(r"^-?\d+\.\d{3}$"), F.replace(found, F.lit("."), F.lit("")))
+            .otherwise(found)
+        )
+        return let(number.try_cast("double"), _plain)
+
+    return let(F.regexp_extract(clean_text(text, 50), r"-?\d[\d,]*\.?\d*", 0), read)
 
 
 def currency(text: Column) -> Column:
@@ -45,13 +47,17 @@ def currency(text: Column) -> Column:
 
 def salary_breakdown(text: Column) -> Column:
     """A struct (salary, min_salary, max_salary): the first two numbers of a text."""
-    t = clean_text(text, 200)
-    found = F.filter(F.transform(F.regexp_extract_all(t, F.lit(r"\d[\d,.]*"), F.lit(0)), parse_decimal), lambda x: x != "")
-    zero = (F.size(found) > 0) & F.forall(found, lambda x: x.cast("double") <= 0)
-    low, high = F.coalesce(F.get(found, 0), F.lit("")), F.coalesce(F.get(found, 1), F.lit(""))
-    pair = (low != "") & (high != "") & (low != high)
-    shown = F.when(zero, "").when(pair, F.concat(low, F.lit(" - "), high)).when(low != "", low).otherwise(t)
-    return F.struct(shown.alias("salary"), F.when(zero, "").otherwise(low).alias("min_salary"), F.when(~zero & pair, high).otherwise("").alias("max_salary"))
+
+    def read(v: Column) -> Column:
+        found, t = v["found"], v["t"]
+        zero = (F.size(found) > 0) & F.forall(found, lambda x: x.cast("double") <= 0)
+        low, high = F.coalesce(F.get(found, 0), F.lit("")), F.coalesce(F.get(found, 1), F.lit(""))
+        pair = (low != "") & (high != "") & (low != high)
+        shown = F.when(zero, "").when(pair, F.concat(low, F.lit(" - "), high)).when(low != "", low).otherwise(t)
+        return F.struct(shown.alias("salary"), F.when(zero, "").otherwise(low).alias("min_salary"), F.when(~zero & pair, high).otherwise("").alias("max_salary"))
+
+    numbers = lambda t: F.filter(F.transform(F.regexp_extract_all(t, F.lit(r"\d[\d,.]*"), F.lit(0)), parse_decimal), lambda x: x != "")
+    return let(let(clean_text(text, 200), lambda t: F.struct(t.alias("t"), numbers(t).alias("found"))), read)
 
 
 def salary_evidence(text: Column) -> Column:
@@ -139,7 +145,10 @@ def duration(seconds: Column) -> Column:
 
 def parse_date(text: Column, as_of: Column) -> Column:
     """An ISO date from many forms, else the empty string; relative forms count back from as_of."""
-    t = clean_text(text, 200)
+    return let(clean_text(text, 200), lambda t: _date(t, as_of))
+
+
+def _date(t: Column, as_of: Column) -> Column:
     low = F.lower(t)
     back = lambda days: F.date_format(F.date_sub(as_of.cast("date"), days), "yyyy-MM-dd")
     unit = r"\s*\+?\s*(minute|hour|day|week|month|year)s?"

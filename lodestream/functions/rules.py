@@ -37,3 +37,8 @@ def first_contained(text: Column, table: Iterable[tuple[str, str]], default: Col
 def filled(*choices: Column) -> Column:
     """The first choice that is neither null nor empty, else the empty string."""
     return F.coalesce(*(F.nullif(c, F.lit("")) for c in choices), F.lit(""))
+
+
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once a row, however often body uses it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), 0)
