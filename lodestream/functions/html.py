@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 PAGE = (
     "title string, h1 array<string>, headings array<string>, metas map<string,string>, links array<struct<text:string,href:string>>, sources array<string>, items array<map<string,string>>,"
-    " tables array<array<array<string>>>, ld_json array<string>, text string, lines string, scripts int, forms int, app_root boolean, main_links array<struct<text:string,href:string>>"
+    " tables array<array<array<string>>>, ld_json array<string>, text string, lines string, scripts int, forms int, app_root boolean, main_links array<struct<text:string,href:string>>, boxes array<struct<title:string,text:string>>"
 )
 _BLOCK = frozenset("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th thead tr ul".split())
 _HIDDEN = frozenset(("script", "style", "noscript", "template"))
+_HEADED = frozenset("title h1 h2 h3 h4 h5 strong b td th".split())
+_BOX = re.compile("job|position|vacancy|career|opening", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
@@ -36,6 +38,8 @@ class _Reader(HTMLParser):
         self.open: list[list] = []  # [tag, pieces] of titles, headings, cells and links that are being read
         self.href: list[str] = []
         self.scopes: list[list] = []  # [depth, properties] of open item scopes
+        self.boxes: list[tuple] = []
+        self.box: list[list] = []  # [depth, pieces, title] of open containers whose class speaks of jobs
         self.depth = 0
 
     def handle_starttag(self, tag, attrs):
@@ -64,7 +68,9 @@ class _Reader(HTMLParser):
                 self.sources.append(a[name])
         if "itemscope" in a:
             self.scopes.append([self.depth, {"@type": a.get("itemtype", "")}])
-        if tag in ("title", "h1", "h2", "h3", "td", "th"):
+        if tag in ("div", "li", "tr", "section", "article") and _BOX.search(a.get("class", "")):
+            self.box.append([self.depth, [], ""])
+        if tag in _HEADED:
             self.open.append([tag, []])
         if tag == "a" and a.get("href"):
             self.href.append(a["href"])
@@ -101,6 +107,9 @@ class _Reader(HTMLParser):
             self.hidden, self.ld_open = None, False
         while self.scopes and self.scopes[-1][0] >= self.depth and tag not in _VOID:
             self._close_scope()
+        while self.box and self.box[-1][0] >= self.depth and tag not in _VOID:
+            _, pieces, title = self.box.pop()
+            self.boxes.append((title, " ".join("".join(pieces).split())))
         if tag not in _VOID:
             self.depth = max(0, self.depth - 1)
 
@@ -114,6 +123,8 @@ class _Reader(HTMLParser):
             self.items.append(item)
 
     def _read(self, name, text):
+        if name in _HEADED and self.box and not self.box[-1][2]:
+            self.box[-1][2] = text
         if name == "title":
             self.title = self.title or text
         elif name in ("h1", "h2", "h3"):
@@ -138,7 +149,7 @@ class _Reader(HTMLParser):
             return
         if not any(o[0] == "title" for o in self.open):
             self.pieces.append(data)
-        for o in self.open:
+        for o in (*self.open, *self.box):
             o[1].append(data)
 
 
@@ -154,6 +165,7 @@ def read_page(html: str | None) -> dict:
     return {
         "title": reader.title, "h1": reader.h1, "headings": reader.headings, "metas": reader.metas, "links": pairs(reader.links), "sources": reader.sources, "items": reader.items, "tables": reader.tables, "ld_json": reader.ld,
         "text": " ".join(lines.split()), "lines": lines, "scripts": reader.scripts, "forms": reader.forms, "app_root": reader.app_root, "main_links": pairs(reader.main_links),
+        "boxes": [{"title": t, "text": x} for t, x in reader.boxes],
     }
 
 
@@ -167,7 +179,7 @@ def page(html: Column) -> Column:
     return read(html)
 
 
-_FIELDS = ("title", "h1", "headings", "metas", "links", "sources", "items", "tables", "ld_json", "text", "lines", "scripts", "forms", "app_root", "main_links")
+_FIELDS = ("title", "h1", "headings", "metas", "links", "sources", "items", "tables", "ld_json", "text", "lines", "scripts", "forms", "app_root", "main_links", "boxes")
 
 
 def plain_text(html: Column) -> Column:

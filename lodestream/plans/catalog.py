@@ -12,6 +12,8 @@ from ..functions import html as pages_html
 from ..functions import vocabulary as V
 from ..functions.rules import filled, first_match
 from ..operators import incremental, relational
+from ..operators import pages as page_ops
+from . import run
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -607,3 +609,42 @@ def single_flight(t, spark):
     rows = t("pages").select("page_id", urls.hostname(F.col("url")).alias("host"))
     done = rows.select("host").distinct().select(F.col("host").alias("h"), F.length("host").cast("bigint").alias("cost"))
     return rows.join(done, F.col("host") == F.col("h")).select("page_id", "host", "cost")
+
+
+# ---- whole-page operators: rows only ----
+
+
+def _captured(t):
+    return t("pages").select("url", "html", pages_html.page(F.col("html")).alias("page"))
+
+
+@_query()
+def page_links(t, spark):
+    """Links of every kind, by page."""
+    found = page_ops.links(_captured(t))
+    kinds = {"posting": page_ops.posting_links(found), "pagination": page_ops.pagination_links(found), "listing": page_ops.listing_links(found), "branch": page_ops.career_branches(found), "handoff": page_ops.handoff_candidates(found)}
+    rows = found.select("url", F.lit("any").alias("kind"), "link")
+    for kind, df in kinds.items():
+        rows = rows.unionByName(df.select("url", F.lit(kind).alias("kind"), "link"))
+    return rows.groupBy("url", "kind").agg(F.count("*").alias("n"))
+
+
+@_query()
+def detail_postings(t, spark):
+    p = _captured(t)
+    return p.select("url", page_ops.detail_posting(F.col("page"), F.col("url"), F.lit("2024-01-31")).alias("d"), F.size(page_ops.inline_postings(F.col("page"))).alias("inline"), F.size(page_ops.box_postings(F.col("page"))).alias("boxes")).select("url", "d.*", "inline", "boxes")
+
+
+@_query()
+def run_over_pages(t, spark):
+    """A run whose home pages are the first page of each host."""
+    pages = _captured(t)
+    homes = pages.select(urls.hostname(F.col("url")).alias("company"), "url").groupBy("company").agg(F.min("url").alias("home"))
+    return run.results(homes, pages).select("company", "home", "status", F.size("jobs").alias("jobs"))
+
+
+@_query()
+def career_candidates(t, spark):
+    pages = _captured(t)
+    homes = pages.select(urls.hostname(F.col("url")).alias("company"), "url").groupBy("company").agg(F.min("url").alias("home"))
+    return run.candidates(homes, pages).select("company", "url", "method", "base", "strong")
