@@ -106,10 +106,9 @@ def fan_out(df: DataFrame, key: str, counted: str) -> DataFrame:
 
 
 def frequencies(df: DataFrame, column: str) -> DataFrame:
-    """(column, n, percent) of each value."""
+    """(column, n, percent) of each value; the total is summed over the counts, a row per value."""
     counted = df.groupBy(column).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("__total"))
-    return counted.crossJoin(F.broadcast(total)).select(column, "n", (100.0 * F.col("n") / F.col("__total")).alias("percent"))  # one row, always
+    return counted.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 def unpivot_metrics(totals: DataFrame) -> DataFrame:

@@ -279,23 +279,16 @@ def validate_enum_range(t, spark):
 
 # ---- text ----
 
-_ASCII = "regexp_matches({0}, '^[\\x00-\\x7F]*$')"
-
-
-def _ascii_docs(t):
-    return t("documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-
-
-@_query(rf"SELECT doc_id, rtrim(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 200)) AS cleaned FROM documents WHERE {_ASCII.format('text')}")
+@_query(rf"SELECT doc_id, rtrim(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 20000)) AS cleaned FROM documents")
 def clean_text(t, spark):
-    return _ascii_docs(t).select("doc_id", text.clean_text(F.col("text"), 200).alias("cleaned"))
+    return t("documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @_query(rf"""
-SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '[,;\n|]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g')) <> '')) AS INTEGER) AS parts FROM documents WHERE {_ASCII.format("text")}
+SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '[,;\n|]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g')) <> '')) AS INTEGER) AS parts FROM documents
 """)
 def to_list(t, spark):
-    return _ascii_docs(t).select("doc_id", F.size(text.to_list(F.col("text"))).alias("parts"))
+    return t("documents").select("doc_id", F.size(text.to_list(F.col("text"))).alias("parts"))
 
 
 @_query(rf"""
@@ -312,11 +305,11 @@ def _sql_rules(column: str, table, first: int | None = None) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({source}, '(?i){quoted(p)}') THEN '{label}'" for label, p in table) + " ELSE '' END"
 
 
-@_query(f"SELECT doc_id, {_sql_rules('text', V.EMPLOYMENT, 4000)} AS employment_type, {_sql_rules('text', V.JOB_CATEGORY, 2000)} AS job_category FROM documents WHERE {_ASCII.format('text')}")
+@_query(f"SELECT doc_id, {_sql_rules('text', V.EMPLOYMENT, 4000)} AS employment_type, {_sql_rules('text', V.JOB_CATEGORY, 2000)} AS job_category FROM documents")
 def classify_documents(t, spark):
     c = F.col("text")
     head = lambda n: F.substring(c, 1, n)
-    return _ascii_docs(t).select("doc_id", first_match(head(4000), V.EMPLOYMENT).alias("employment_type"), first_match(head(2000), V.JOB_CATEGORY).alias("job_category"))
+    return t("documents").select("doc_id", first_match(head(4000), V.EMPLOYMENT).alias("employment_type"), first_match(head(2000), V.JOB_CATEGORY).alias("job_category"))
 
 
 @_query(rf"""
@@ -397,11 +390,11 @@ def salary_breakdown(t, spark):
 
 
 @_query("""
-SELECT p_partkey, '$' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || ' - $' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS text, floor(p_retailprice) AS lo, floor(p_retailprice) AS hi FROM part WHERE p_size % 2 = 0
+SELECT p_partkey, '$' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || ' - $' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS text, floor(p_retailprice) AS lo, floor(p_retailprice) AS hi FROM part
 """)
 def usd_salary(t, spark):
     u = numbers.usd_salary(F.lit(""), F.format_number(F.floor("p_retailprice"), 0), F.lit(""), F.lit("usd "))
-    return t("part").where("p_size % 2 = 0").select("p_partkey", u["text"].alias("text"), u["lo"].alias("lo"), u["hi"].alias("hi"))
+    return t("part").select("p_partkey", u["text"].alias("text"), u["lo"].alias("lo"), u["hi"].alias("hi"))
 
 
 @_query("SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR) || chr(31) || o_orderstatus || chr(31) || o_orderpriority) AS row_id FROM orders")
@@ -473,7 +466,7 @@ def token_share(t, spark):
 
 @_query(f"""
 WITH h AS (SELECT page_id, string_split(lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1)), '.')[-3] AS slug, regexp_extract(html, '<title>([^ <]*)', 1) AS name FROM pages),
-k AS (SELECT page_id, regexp_replace(slug, '[^a-z0-9]+', '', 'g') AS slug, {_TOKENS.format('name')} AS tk, {_DISTINCT.format('name')} AS dt FROM h WHERE slug IS NOT NULL AND {_ASCII.format('name')})
+k AS (SELECT page_id, regexp_replace(slug, '[^a-z0-9]+', '', 'g') AS slug, {_TOKENS.format('name')} AS tk, {_DISTINCT.format('name')} AS dt FROM h WHERE slug IS NOT NULL)
 SELECT page_id, length(slug) >= 2 AND len(tk) > 0 AND (len(list_filter(dt, lambda x: length(x) >= 4 AND contains(slug, x))) > 0
   OR (length(slug) >= 5 AND (starts_with(array_to_string(tk, ''), slug) OR (contains(array_to_string(tk, ''), slug) AND len(list_filter(tk, lambda x: contains(slug, x))) >= 2)))
   OR (len(tk) >= 3 AND length(slug) >= 3 AND slug = array_to_string(list_transform(tk, lambda x: x[1]), ''))) AS matched FROM k
@@ -481,7 +474,7 @@ SELECT page_id, length(slug) >= 2 AND len(tk) > 0 AND (len(list_filter(dt, lambd
 def slug_match(t, spark):
     host = F.split(urls.hostname(F.col("url")), r"\.")
     slug = F.try_element_at(host, F.lit(-3))
-    rows = t("pages").select("page_id", slug.alias("slug"), F.regexp_extract("html", "<title>([^ <]*)", 1).alias("name")).where(F.col("slug").isNotNull() & F.col("name").rlike(r"^[\x00-\x7F]*$"))
+    rows = t("pages").select("page_id", slug.alias("slug"), F.regexp_extract("html", "<title>([^ <]*)", 1).alias("name")).where(F.col("slug").isNotNull())
     return rows.select("page_id", names.slug_matches(F.col("slug"), F.col("name")).alias("matched"))
 
 
