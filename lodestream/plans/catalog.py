@@ -13,6 +13,7 @@ from ..functions import vocabulary as V
 from ..functions.rules import filled, first_match
 from ..operators import incremental, relational
 from ..operators import pages as page_ops
+from ..streaming import state
 from . import run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -641,3 +642,37 @@ def career_candidates(t, spark):
     pages = _captured(t)
     homes = pages.select(urls.hostname(F.col("url")).alias("company"), "url").groupBy("company").agg(F.min("url").alias("home"))
     return run.candidates(homes, pages).select("company", "url", "method", "base", "strong")
+
+
+# ---- streams, drained ----
+
+
+def _events(spark, sf_dir):
+    path = f"{sf_dir}/events.parquet"
+    # as a pattern, since a path without one must be a folder
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/events.parque[t]")
+    return rows, rows.select(F.col("user_id").cast("string").alias("key"), "ts", "event_id", (F.col("event_type") == "error").alias("failed"))
+
+
+def stream_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _events(spark, sf_dir)
+    return state.drain(state.status_counts(rows, "event_type"), "counts", "complete")
+
+
+def stream_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows only: which events a breaker of three failures lets through."""
+    return state.drain(state.breaker(_events(spark, sf_dir)[1], 3, 86_400), "breaker")
+
+
+def stream_dead_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows only: which events a memo of dead hosts skips."""
+    return state.drain(state.dead_hosts(_events(spark, sf_dir)[1], 2, 86_400), "dead")
+
+
+def stream_ttl_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows only: which events find a value that lives."""
+    return state.drain(state.ttl_cache(_events(spark, sf_dir)[1], 86_400, 3_600), "cache")
+
+
+_QUERIES |= {f.__name__: f for f in (stream_status_counts, stream_breaker, stream_dead_hosts, stream_ttl_cache)}
+_SQL["stream_status_counts"] = "SELECT event_type, count(*) AS n FROM events GROUP BY 1"

@@ -108,3 +108,18 @@ def resume(new: DataFrame, path: str, key: str, checkpoint: str):
         rows.write.mode("append").parquet(path)
 
     return new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def drain(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """All that a stream has to say about what is there now, written below the shared folder and read back."""
+    import uuid
+
+    spark = df.sparkSession
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints"
+    place = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if mode == "append":
+        query = df.writeStream.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).format("parquet").option("path", f"{place}/out").start()
+    else:  # each trigger replaces the whole result
+        query = df.writeStream.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{place}/out")).start()
+    query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{place}/out")
