@@ -8,7 +8,8 @@ occur again mark where passages may repeat; around them the match is extended to
 windows, which are hashed with 96 bits and judged: a window whose words start earlier
 elsewhere is removed.
 
-Shape of the job.  Map tasks drop repeats within a document and within a task's batch
+Shape of the job.  Texts that a smaller id has word for word are found by a minimum per
+digest and left out; each of their windows starts earlier.  Map tasks drop repeats within a document and within a task's batch
 before anything is shuffled, so a passage that every document holds costs a row per
 task, not per document.  What is shuffled are blocks of packed hashes, dealt by hash; a
 reducer answers each block with the positions that repeat, by document.  Texts are
@@ -313,9 +314,9 @@ def _result(keep_text: bool):
 
         for batch in batches:
             out = []
-            for text, answer in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            for text, answer, copy in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 data, start, end, words = _hashes(text or b"")
-                gone = covered(words, _flat(answer))
+                gone = np.full(len(words), len(words) >= WIDTH) if copy else covered(words, _flat(answer))
                 kept = b" ".join(text[s:e] for s, e in zip(start[~gone].tolist(), end[~gone].tolist(), strict=True)) if len(words) else b""
                 out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
             columns = list(zip(*out, strict=True)) or [[]] * 4
@@ -336,15 +337,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         answers = blocks.repartitionById(parts, F.col("part")).mapInArrow(reduce(parts), _BLOCKS)
         return answers.repartitionById(parts, F.col("part")).mapInArrow(_merge, _ANSWERS)
 
-    def joined(answers: DataFrame) -> DataFrame:
-        known = answers.withColumnsRenamed({"id": "_id", "print": "_print"})
+    def joined(left: DataFrame, known: DataFrame, name: str) -> DataFrame:
+        """left with the column ``name`` of the texts that known has; texts stay where their exchange put them."""
+        known = known.select(F.col("id").alias("_id"), F.col("print").alias("_print"), name)
         same = (F.coalesce("id", F.lit(_LOWEST)) == F.col("_id")) & (F.col("print") == F.col("_print"))
-        return rows.join(known, same, "left").select("id", "print", "text", "at")
-
-    again = dealt(rows.mapInArrow(_anchors(parts), _BLOCKS), _repeated)
-    later = dealt(joined(again).mapInArrow(_windows(parts), _BLOCKS), _later)
+        return left.join(known, same, "left").drop("_id", "_print")
+
+    # texts that a smaller id has word for word go whole: neither they nor, for their sake, the first are looked into
+    keys = rows.select(F.coalesce("id", F.lit(_LOWEST)).alias("id"), "print", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    firsts = keys.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("digest", "_digest")
+    copies = keys.join(firsts, F.col("digest") == F.col("_digest")).where("id > first").select("id", "print").distinct().withColumn("copy", F.lit(True))
+    marked = joined(rows, copies, "copy")
+    fresh = marked.where("copy IS NULL")
+    again = dealt(fresh.select("id", "print", "text").mapInArrow(_anchors(parts), _BLOCKS), _repeated)
+    later = dealt(joined(fresh, again, "at").select("id", "print", "text", "at").mapInArrow(_windows(parts), _BLOCKS), _later)
     kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    return joined(later).mapInArrow(_result(keep_text), kinds)
+    found = joined(marked, later, "at").select("id", "print", "text", "at", "copy")
+    return found.mapInArrow(_result(keep_text), kinds)
 
 
 def op8_substrings(spark, sf_dir: str) -> DataFrame:
