@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, prefix_hash, span_hash, utf8, window_hashes, word_spans
+from .common import materialize, mix64, prefix_hash, span_hash, utf8, window_hashes, word_spans
 
 WIDTH, ANCHOR, PERIOD, COVER = 20, 8, 13, (0, 1, 3, 9)
 #: Bytes of text for each part that hashes are dealt to, about.
@@ -346,6 +346,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # texts that a smaller id has word for word go whole: neither they nor, for their sake, the first are looked into
     keys = rows.select(F.coalesce("id", F.lit(_LOWEST)).alias("id"), "print", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
     firsts = keys.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("digest", "_digest")
+    firsts = materialize(firsts, "firsts")  # a join of its own, so that AQE may split a digest that many rows share
     copies = keys.join(firsts, F.col("digest") == F.col("_digest")).where("id > first").select("id", "print").distinct().withColumn("copy", F.lit(True))
     marked = joined(rows, copies, "copy")
     fresh = marked.where("copy IS NULL")
