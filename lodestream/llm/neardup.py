@@ -254,9 +254,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     copies = signed.select("id", "digest").join(copied, F.col("digest") == F.col("_digest")).where("id != vertex").select(F.col("vertex").alias("a"), F.col("id").alias("b"))
     buckets = vertices.select("vertex", "print", "size", F.explode("bands").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("vertex").alias("lead"), F.min_by("size", "vertex").alias("lead_size"), F.count("*").alias("n"))
-    leaders = leaders.where("n > 1").withColumnRenamed("key", "_key")
+    # written, so that the join below is one of its own: Spark knows its size, and AQE may split a key that many share
+    leaders = materialize(leaders.where("n > 1").withColumnRenamed("key", "_key"), "leaders")
     hits = buckets.join(leaders, F.col("key") == F.col("_key")).where("vertex != lead")
     hits = materialize(hits.select("key", "vertex", "print", "size", "lead", "lead_size", "n"), "hits")
+    discard(leaders)
     near = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size")
     pairs = hits.where(near).select("lead", "vertex").distinct()
     counts = pairs.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).withColumnRenamed("lead", "_lead")
@@ -278,7 +280,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     apart = materialize(apart, "apart")
     discard(hits)
     split = apart.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high")
-    split = split.select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    split = materialize(split.select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "split")
     again = apart.join(split, F.col("key") == F.col("_key")).withColumn("block", F.pmod(F.xxhash64("vertex", "key"), F.col("blocks")).cast("int"))
     keyed = vertices.select(F.col("vertex").alias("_v"), F.col("print").alias("_p"), "bands")
     again = again.join(keyed, (F.col("vertex") == F.col("_v")) & (F.col("print") == F.col("_p"))).join(chosen, (F.col("vertex") == F.col("_id")) & (F.col("print") == F.col("_print")))
@@ -288,7 +290,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     again = again.repartition("key", "cell").sortWithinPartitions("key", "cell", "id")
     more = again.mapInArrow(_cells, "a long, b long")
     final = components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(more).union(copies))
-    for done in (vertices, chosen, links, apart, labels):
+    for done in (vertices, chosen, links, apart, split, labels):
         discard(done)
     final = final.select(F.col("id").alias("_id"), "label")
     found = signed.select("id").join(final, F.col("id") == F.col("_id"), "left").select("id", F.coalesce("label", "id").alias("label"))
