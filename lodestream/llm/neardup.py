@@ -52,8 +52,6 @@ def shingles(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def elements(text: bytes) -> np.ndarray:
     """The multiset of shingles as a set: the k-th of equal shingles is an element of its own."""
     h, n = shingles(text)
-    if not len(h) or n.max() == 1:
-        return h
     nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     return np.sort(mix64(np.repeat(h, n) + nth.astype(np.uint64) * _GOLD))
 

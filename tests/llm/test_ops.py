@@ -118,6 +118,15 @@ def test_neardup_large_bucket_links_its_parts(spark):
     assert {g.class_id for g in got} == {0}
 
 
+def test_neardup_of_distinct_and_repeated_shingles(spark):
+    words = [f"w{i}" for i in range(100)]
+    plain, doubled = " ".join(words), " ".join(words + words[:10])
+    a, b = (neardup.elements(t.encode()) for t in (plain, doubled))
+    assert neardup.similarity(a, b) == pytest.approx(weighted(plain.split(), doubled.split())) == pytest.approx(96 / 106)
+    got = neardup.classes(spark.createDataFrame([(1, plain), (2, doubled)], "doc_id long, text string")).collect()
+    assert {g.class_id for g in got} == {1}
+
+
 def test_neardup_edges(spark):
     rows = docs(spark, EDGE)
     got = sorted((g.doc_id is None, g.doc_id or 0, g.class_id) for g in neardup.classes(rows).collect())
