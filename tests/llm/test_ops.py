@@ -453,6 +453,26 @@ def test_recall_and_scores(spark):
     assert hits / (20 * len(queries)) >= 0.9
 
 
+@pytest.mark.parametrize("total", [1900, 2100, 12000])
+def test_cells_keep_their_size(spark, monkeypatch, total):
+    # one level of pivots is enough below 2,000 nodes
+    for name, value in {"TREES": 2, "PIVOTS": 20, "CELL": 100, "ROUNDS": 0}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    sizes, write = [], neighbours.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "cells":
+            sizes.extend(r["count"] for r in out.groupBy("tree", "cell").count().collect())
+        return out
+
+    monkeypatch.setattr(neighbours, "materialize", counted)
+    m = np.random.default_rng(3).normal(size=(total, 16))
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(m)], "node long, vec binary")
+    assert neighbours.build_graph(nodes, total).count() == total
+    assert sum(sizes) == 2 * total and 50 < np.mean(sizes) < 200
+
+
 def test_vectors_that_take_no_part_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1, 1), (20, None, 1, 1), (40, [0.0, 0.0], 1, 1), (3, [nan, 1.0], 1, 1), (4, [inf, 1.0], 1, 1), (5, [None, 1.0], 1, 1), (None, [1.0, 1.0], 1, 1), (6, [], 1, 1), (7, [1.0, 2.0, 3.0], 1, 1)] + [(100 + i, [1.0, 0.0], 1, 1) for i in range(30)] + [(60, [0.0, 1.0], 1, 1), (61, [2.0, 0.5], 1, 1)]
