@@ -473,6 +473,18 @@ def test_cells_keep_their_size(spark, monkeypatch, total):
     assert sum(sizes) == 2 * total and 50 < np.mean(sizes) < 200
 
 
+def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "TREES", 2)
+    monkeypatch.setattr(neighbours, "CELL", 25)
+    total, m = 1000, np.random.default_rng(7).normal(size=(1000, 16)).astype(np.float16).astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    graph = neighbours.build_graph(spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(m)], "node long, vec binary"), total).collect()
+    scores = m @ m.T - 9 * np.eye(total)
+    recall = np.mean([len(set(np.frombuffer(r.ids, np.int64).tolist()) & set(np.argsort(-scores[r.node])[:20].tolist())) / 20 for r in graph])
+    assert recall > 0.9 and sum(r.entered for r in graph) <= neighbours.SETTLED * total * neighbours.DEGREE
+
+
 def test_vectors_that_take_no_part_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1, 1), (20, None, 1, 1), (40, [0.0, 0.0], 1, 1), (3, [nan, 1.0], 1, 1), (4, [inf, 1.0], 1, 1), (5, [None, 1.0], 1, 1), (None, [1.0, 1.0], 1, 1), (6, [], 1, 1), (7, [1.0, 2.0, 3.0], 1, 1)] + [(100 + i, [1.0, 0.0], 1, 1) for i in range(30)] + [(60, [0.0, 1.0], 1, 1), (61, [2.0, 0.5], 1, 1)]
