@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import discard, free_name, materialize
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key."""
@@ -48,18 +50,22 @@ def resume_key(name: Column, website: Column) -> Column:
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx") -> DataFrame:
     """Rows numbered from 0 in a total order, without one task for all of them.
 
-    Rows are range-partitioned by the order and numbered in each partition; what the
-    partitions before it hold is added.  The partition sizes, one row per partition, are
-    all that is joined back.
+    Rows are range-partitioned by the order, sorted in their partition and written with
+    their place in it, once: whatever else is asked of them (how many each partition
+    holds, the rows themselves) comes from that table, so that two samplings or
+    coalescings can't disagree.  What the partitions before a row's own hold, one row per
+    partition, is added by a join that loses none.
     """
-    spread = df.withColumn("__order", F.struct(*(c if isinstance(c, Column) else F.col(c) for c in order))).repartitionByRange("__order")
-    tagged = spread.sortWithinPartitions("__order").withColumn("__part", F.spark_partition_id())
-    within = F.row_number().over(Window.partitionBy("__part").orderBy("__order"))
-    sizes = tagged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select(F.col("__part").alias("__p"), before.alias("__before"))
-    numbered = tagged.withColumn("__within", within).join(offsets, F.col("__part") == F.col("__p"))
-    return numbered.withColumn(name, (F.col("__before") + F.col("__within") - 1).cast("long")).drop("__order", "__part", "__within", "__p", "__before")
+    key, place, part, before = (free_name(n, df.columns, [name]) for n in ("__order", "__place", "__part", "__before"))
+    spread = df.withColumn(key, F.struct(*(c if isinstance(c, Column) else F.col(c) for c in order))).repartitionByRange(key)
+    placed = materialize(spread.sortWithinPartitions(key).drop(key).withColumn(place, F.monotonically_increasing_id()), "numbered")
+    at = F.shiftright(F.col(place), 33)  # the upper bits are the partition's number, the lower 33 the row's place in it
+    sizes = placed.groupBy(at.alias(part)).agg(F.count("*").alias("__n"))
+    sum_before = F.coalesce(F.sum("__n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select(F.col(part), sum_before.alias(before))
+    numbered = placed.withColumn(part, at).join(offsets, part, "left")
+    number = F.coalesce(F.col(before), F.raise_error(F.lit("a partition has no offset"))) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.select(*(F.col(f"`{c}`") for c in df.columns if c != name), number.cast("long").alias(name))
 
 
 def shard_interleave(df: DataFrame, index: int, count: int, ordinal: str = "row_idx") -> DataFrame:
@@ -106,9 +112,9 @@ def fan_out(df: DataFrame, key: str, counted: str) -> DataFrame:
 
 
 def frequencies(df: DataFrame, column: str) -> DataFrame:
-    """(column, n, percent) of each value; the total is summed over the counts, a row per value."""
+    """(column, n, percent) of each value; the total is a scalar subquery, so no task sees all values."""
     counted = df.groupBy(column).agg(F.count("*").alias("n"))
-    return counted.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return counted.withColumn("percent", 100.0 * F.col("n") / df.agg(F.count("*")).scalar())
 
 
 def unpivot_metrics(totals: DataFrame) -> DataFrame:
@@ -117,11 +123,23 @@ def unpivot_metrics(totals: DataFrame) -> DataFrame:
 
 
 def upper_median(df: DataFrame, column: str) -> DataFrame:
-    """(median, n): the value at index n // 2 of the positive ones in ascending order; from counts per value, without collecting values."""
-    counts = df.where(F.col(column) > 0).groupBy(column).agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.select(F.col(column).alias("v"), upto.alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n"))
-    return ranked.where(F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("v").alias("median"), F.first("n").alias("n"))
+    """(median, n): the value at index n // 2 of the positive ones in ascending order; both null and 0 without any.
+
+    Counts per value are range-partitioned by value and written; the partition that holds
+    the middle is found from one sum per partition, and only its values are ordered.
+    """
+    counts = df.where(F.col(column) > 0).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    held = materialize(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "counts")
+    sums = held.groupBy("part").agg(F.sum("c").alias("c")).orderBy("part").collect()
+    total, before, middle = sum(r.c for r in sums), 0, None
+    for r in sums:
+        if before + r.c > total // 2:
+            middle = r.part
+            break
+        before += r.c
+    own = held.where(F.col("part") == F.lit(middle))
+    upto = F.lit(before) + F.sum("c").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return own.select("v", upto.alias("upto")).where(F.col("upto") > total // 2).agg(F.min("v").alias("median"), F.lit(total).cast("long").alias("n"))
 
 
 def snapshot_delta(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -147,11 +165,23 @@ def within_cap(files: DataFrame, order: Sequence[Column | str], size: str, cap:
 
 
 def reachable(spark, edges: DataFrame, roots: DataFrame, levels: int) -> DataFrame:
-    """(node, depth): breadth-first from roots along edges (src, dst), at most ``levels`` steps; each node at its least depth."""
-    seen = roots.select(F.col("node"), F.lit(0).alias("depth")).distinct()
-    front = seen
+    """(node, depth): breadth-first from roots along edges (src, dst), at most ``levels`` steps; each node at its least depth.
+
+    Each front is written to the shared folder, so a level reads the fronts before it and
+    computes none of them again; it ends with the first front that is empty.
+    """
+    fronts = [materialize(roots.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "front")]
     for depth in range(1, levels + 1):
-        step = front.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        front = step.join(seen.select("node"), "node", "left_anti").select("node", F.lit(depth).alias("depth"))
-        seen = seen.unionByName(front)
-    return seen
+        seen = fronts[0]
+        for f in fronts[1:]:
+            seen = seen.unionByName(f)
+        step = fronts[-1].join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+        front = materialize(step.join(seen.select("node"), "node", "left_anti").select("node", F.lit(depth).alias("depth")), "front")
+        if front.isEmpty():
+            discard(front)
+            break
+        fronts.append(front)
+    found = fronts[0]
+    for f in fronts[1:]:
+        found = found.unionByName(f)
+    return found

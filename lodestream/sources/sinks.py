@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,28 +10,24 @@ from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
 from ..operators.relational import migrate, purge
-
-
-def _path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+from ..storage import settle, swap
 
 
 def append(rows: DataFrame, path: str, columns: list[str] = V.OUTPUT_COLUMNS) -> None:
     """Rows under the fixed columns, unknown ones ignored, appended to what the folder holds."""
+    settle(rows.sparkSession, path)
     migrate(rows, columns).write.mode("append").option("header", True).option("escape", '"').csv(path)
 
 
 def replace(rows: DataFrame, path: str) -> None:
-    """rows in place of the folder at path: written beside it, then renamed; readers see the old or the new."""
-    spark, mark = rows.sparkSession, uuid.uuid4().hex
-    rows.write.option("header", True).option("escape", '"').csv(f"{path}.{mark}.new")
-    old, fs = _path(spark, path)
-    kept, new = _path(spark, f"{path}.{mark}.old")[0], _path(spark, f"{path}.{mark}.new")[0]
-    if fs.exists(old):
-        fs.rename(old, kept)
-    fs.rename(new, old)
-    fs.delete(kept, True)
+    """rows in place of the folder at path: written beside it, then put in its place by ``storage.swap``.
+
+    A crash before the swap is committed leaves the old folder, one after it the new;
+    the readers and writers of this package finish a swap that was left half done.
+    """
+    new = f"{path}.{uuid.uuid4().hex}.new"
+    rows.write.option("header", True).option("escape", '"').csv(new)
+    swap(rows.sparkSession, path, new)
 
 
 def migrate_file(spark: SparkSession, path: str, columns: list[str] = V.OUTPUT_COLUMNS) -> bool:
@@ -56,9 +53,12 @@ def purge_file(spark: SparkSession, path: str) -> int:
 
 
 def append_results(results: DataFrame, log: str, checkpoint: str, errors: str) -> None:
-    """Results as JSON lines, then their ids, then errors aside: a crash between the first two repeats work, but loses none."""
+    """Results as JSON lines, then their ids, then errors aside: a crash between the first two repeats work, but loses none.
+
+    Each line carries the time of its batch, by which ``read_results`` tells the last.
+    """
     good = results.where("error IS NULL")
-    good.select("row_id", "result").write.mode("append").json(log)
+    good.select("row_id", "result", F.lit(time.time_ns()).alias("seq")).write.mode("append").json(log)
     good.select("row_id").write.mode("append").text(checkpoint)
     results.where("error IS NOT NULL").select("row_id", "error").write.mode("append").option("header", True).csv(errors)
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from ..storage import settle
+
 # ---- fixed values: names of columns that company lists use, in order ----
 NAME_HEADERS = "company_name company name organization organisation employer business_name account_name".split()
 WEBSITE_HEADERS = "website web url homepage domain company_website site web_address".split()
@@ -44,6 +46,7 @@ def resolve_header(cells: list[str]) -> tuple[int, int | None, int | None, bool]
 
 
 def _select(raw: DataFrame, header: list[str]) -> DataFrame:
+    """The columns that a header names; raw is one file and, as its quoted cells may hold line ends, one partition: its ids are its lines."""
     name, site, country, has_header = resolve_header(header)
     cell = lambda i: F.trim(F.coalesce(F.col(raw.columns[i]), F.lit(""))) if i is not None and i < len(raw.columns) else F.lit("")
     rows = raw.select(cell(name).alias("name"), cell(site).alias("website"), cell(country).alias("country"), F.monotonically_increasing_id().alias("row_idx"))
@@ -57,6 +60,8 @@ def read_companies(spark: SparkSession, path: str) -> DataFrame:
     if re.search(r"\.(csv|tsv|tab|txt)$", path, re.I):
         sep = "\t" if re.search(r"\.(tsv|tab)$", path, re.I) else ","
         raw = spark.read.option("sep", sep).option("multiLine", True).option("escape", '"').option("nullValue", "\x00").csv(path)
+        if len(raw.inputFiles()) > 1:
+            raise ValueError(f"{path} is no single list: a list is one file, whose order counts")
     else:
         raw = read_xlsx(spark, path)
     head = raw.limit(1).collect()
@@ -68,6 +73,8 @@ def read_companies(spark: SparkSession, path: str) -> DataFrame:
 
 def read_strings(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """CSV with a header, all columns strings, blanks kept as blanks."""
+    for p in [paths] if isinstance(paths, str) else paths:
+        settle(spark, p)
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\x00").option("emptyValue", "").csv(paths)
     return df.fillna("")
 
@@ -88,10 +95,18 @@ def completed_keys(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """(row_id, result) of a log of JSON lines: lines that are no objects go, the last of a row_id counts."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no"))
-    parsed = lines.select(F.get_json_object("value", "$.row_id").alias("row_id"), F.get_json_object("value", "$.result").alias("result"), "line_no").where("row_id IS NOT NULL")
-    return parsed.groupBy("row_id").agg(F.max_by("result", "line_no").alias("result"))
+    """(row_id, result) of a log of JSON lines: lines that are no objects go, the last of a row_id counts.
+
+    The last is that of the latest batch (``seq``, which ``append_results`` writes); lines
+    without one come before, by their files' times.  Within a batch files go by name and
+    lines by place, whatever order Spark reads them in.
+    """
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_modification_time").alias("written"), place.alias("place"))
+    of = lambda key: F.get_json_object("value", f"$.{key}")
+    parsed = lines.select(of("row_id").alias("row_id"), of("result").alias("result"), F.coalesce(of("seq").cast("long"), F.lit(0)).alias("seq"), "written", "place").where("row_id IS NOT NULL")
+    order = F.struct("seq", F.when(F.col("seq") == 0, F.col("written")), "place")
+    return parsed.groupBy("row_id").agg(F.max_by("result", order).alias("result"))
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:

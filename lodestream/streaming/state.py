@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..storage import fresh_path
+
 
 def status_counts(rows: DataFrame, status: str) -> DataFrame:
     """Counts per status, kept up to date: the complete-mode form of an audit that polls."""
@@ -112,11 +114,8 @@ def resume(new: DataFrame, path: str, key: str, checkpoint: str):
 
 def drain(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """All that a stream has to say about what is there now, written below the shared folder and read back."""
-    import uuid
-
     spark = df.sparkSession
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints"
-    place = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = fresh_path(spark, name)
     if mode == "append":
         query = df.writeStream.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).format("parquet").option("path", f"{place}/out").start()
     else:  # each trigger replaces the whole result

@@ -51,6 +51,41 @@ def test_shards_partition_exactly(spark):
             assert ids == list(range(103))
 
 
+def test_numbering_loses_nothing(spark):
+    """Several partitions, ties in the first column, and a small advisory size, at which AQE coalesces as it likes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        n = 5_000_000
+        df = spark.range(0, n, 1, 16).select((F.pmod(F.xxhash64("id"), F.lit(1000))).alias("k"), "id", F.lit("x").alias("__part"), F.lit(1).alias("__ORDER"))
+        rows = relational.number_rows(df, ["k", "id"])
+        assert rows.columns == [*df.columns, "row_idx"]
+        got = rows.agg(F.count("*"), F.countDistinct("row_idx"), F.min("row_idx"), F.max("row_idx"), F.countDistinct("id")).first()
+        assert tuple(got) == (n, n, 0, n - 1, n)
+        ends = rows.groupBy("k").agg(F.min("row_idx").alias("a"), F.max("row_idx").alias("b")).orderBy("k").collect()
+        assert all(x.b < y.a for x, y in zip(ends, ends[1:], strict=False))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_medians_and_frequencies(spark):
+    values = [3, 1, 2, 2, 5, 9, -1, 0, None, 4]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    positive = sorted(v for v in values if v and v > 0)
+    assert tuple(relational.upper_median(df, "v").first()) == (positive[len(positive) // 2], len(positive))
+    assert tuple(relational.upper_median(df.limit(0), "v").first()) == (None, 0)
+    assert {r.v: (r.n, r.percent) for r in relational.frequencies(df, "v").collect()}[2] == (2, 20.0)
+
+
+def test_reachable(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (9, 1)], "src int, dst int")
+    roots = spark.createDataFrame([(1,)], "node int")
+    assert {r.node: r.depth for r in relational.reachable(spark, edges, roots, 3).collect()} == {1: 0, 2: 1, 3: 2, 4: 3}
+    assert {r.node for r in relational.reachable(spark, edges, roots, 99).collect()} == {1, 2, 3, 4, 5}
+
+
 def test_dedupe_ignores_the_order_of_input(spark):
     rows = [(k, i) for i, k in enumerate("abacabad")]
     for data in (rows, rows[::-1]):

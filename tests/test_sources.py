@@ -59,6 +59,53 @@ def test_result_log(spark, tmp_path):
     assert spark.range(1).select(tables.rss_links(xml).alias("x")).first().x == ["https://a", "b"]
 
 
+def test_last_result_counts_whatever_the_files(spark, tmp_path):
+    """The newer file is the larger one, which Spark reads first; and lines of before the time of batches was logged."""
+    log, mark, bad = (str(tmp_path / x) for x in ("log", "mark", "bad"))
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "part-z.json").write_text('{"row_id": "a", "result": "OLDEST"}\n{"row_id": "b", "result": "only"}\n')
+    for result, n in (("OLD", 1), ("NEW", 20_000)):
+        rows = spark.createDataFrame([("a", result, None)] + [(f"x{i}", "y" * 20, None) for i in range(n)], "row_id string, result string, error string").coalesce(1)
+        sinks.append_results(rows, log, mark, bad)
+    got = {r.row_id: r.result for r in tables.read_results(spark, log).where("row_id in ('a', 'b')").collect()}
+    assert got == {"a": "NEW", "b": "only"}
+
+
+def test_replacement_survives_a_crash(spark, tmp_path, monkeypatch):
+    from lodestream import storage
+
+    path = str(tmp_path / "out")
+    frame = lambda *values: spark.createDataFrame([(v,) for v in values], "company_name string")
+    names = lambda: sorted(r.company_name for r in tables.read_strings(spark, path).collect())
+    sinks.replace(frame("a"), path)
+    assert names() == ["a"]
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "swap", crash)  # before the commit: the old one stays
+    for _ in range(2):
+        try:
+            sinks.replace(frame("b"), path)
+        except RuntimeError:
+            assert names() == ["a"]
+    monkeypatch.undo()
+    monkeypatch.setattr(storage, "settle", crash)  # after it: the next reader finds the new one
+    try:
+        sinks.replace(frame("c", "d"), path)
+    except RuntimeError:
+        assert names() == ["c", "d"]
+    # between the removal of the old folder and the renaming of the new one
+    try:
+        sinks.replace(frame("e"), path)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    where, fs = storage.file_system(spark, path)
+    fs.delete(where, True)
+    assert names() == ["e"] and not (tmp_path / "out.swap").exists()
+
+
 def stream(spark, tmp_path, rows):
     """The rows as a stream of one file per batch."""
     schema = "key string, ts timestamp, event_id long, failed boolean"
