@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import n_words
+from ..functions.rules import let
 
 #: Largest number of labelled rows that a fit sees.
 SAMPLE = 20_000
@@ -33,30 +33,57 @@ LASSO = 0.002
 FOLDS, HELD_OUT = 3, 1
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text; none of them is null, for any text."""
-    t = F.coalesce(text, F.lit(""))
-    words = n_words(t)
-    per_word = lambda n: n / F.greatest(words, F.lit(1))
-    chars = F.length(t)
-    share = lambda n: n / F.greatest(chars, F.lit(1))
-    without = lambda marks: chars - F.length(F.translate(t, marks, ""))
-    parts = F.split(t, "[\\x20\\x09-\\x0D]+")
-    lines = F.split(t, "\n")
-    return {
-        "log_words": F.log2(words + F.lit(1)),
-        "word_length": per_word(chars - F.regexp_count(t, F.lit("[\\x20\\x09-\\x0D]"))),
-        "distinct_words": F.size(F.array_distinct(parts)) / F.size(parts),
-        "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
-        "line_words": per_word(F.size(lines)),
-        "upper": share(F.regexp_count(t, F.lit("\\p{Lu}"))),
-        "digits": share(without("0123456789")),
-        "symbols": per_word(without("#$%&*+<=>@[\\]^_{|}~/")),
-        "bars": per_word(without("|")),
-        "bangs": per_word(without("!")),
-        "stops": per_word(without(".")),
-        "commas": per_word(without(",;:")),
-    }
+def _counts(text: Column) -> Column:
+    """What the statistics of a text are made of, each counted once.
+
+    Words come from one split, and marks from what one pattern leaves of the text: digits
+    and ASCII punctuation, a small part of it.
+    """
+    marks = {"digits": "0123456789", "symbols": "#$%&*+<=>@[\\]^_{|}~/", "bars": "|", "bangs": "!", "stops": ".", "commas": ",;:"}
+
+    def words(p: Column) -> Column:
+        blank = lambda at: F.when(F.element_at(p, at) == "", 1).otherwise(0)
+        return F.struct(
+            (F.size(p) - blank(1) - F.when(F.size(p) > 1, blank(-1)).otherwise(0)).alias("all"),
+            F.length(F.array_join(p, "")).alias("chars"),
+            (F.size(F.array_distinct(p)) / F.size(p)).alias("distinct"),
+        )
+
+    def counted(t: Column) -> Column:
+        return F.struct(
+            F.length(t).alias("chars"),
+            F.regexp_count(t, F.lit("\\p{Lu}")).alias("upper"),
+            let(F.split(t, "[\\x20\\x09-\\x0D]+"), words).alias("words"),
+            let(F.split(t, "\n"), lambda p: F.struct(F.size(p).alias("all"), F.size(F.array_distinct(p)).alias("distinct"))).alias("lines"),
+            let(F.regexp_replace(t, "[^0-9!-/:-@\\[-`{-~]+", ""), lambda m: F.struct(*((F.length(m) - F.length(F.translate(m, of, ""))).alias(n) for n, of in marks.items()))).alias("marks"),
+        )
+
+    return let(F.coalesce(text, F.lit("")), counted)
+
+
+def statistics(text: Column) -> Column:
+    """A struct of the statistics of a text, as doubles named in ``NAMES``; none of them is null, for any text.
+
+    Counts are bound once by ``let``, so that whatever uses the struct (a filter that the
+    optimizer pushes below a projection, too) reads a text once for each of them.
+    """
+
+    def made(c: Column) -> Column:
+        per_word = lambda n: n / F.greatest(c["words"]["all"], F.lit(1))
+        share = lambda n: n / F.greatest(c["chars"], F.lit(1))
+        found = {
+            "log_words": F.log2(c["words"]["all"] + F.lit(1)),
+            "word_length": per_word(c["words"]["chars"]),
+            "distinct_words": c["words"]["distinct"],
+            "distinct_lines": c["lines"]["distinct"] / c["lines"]["all"],
+            "line_words": per_word(c["lines"]["all"]),
+            "upper": share(c["upper"]),
+            "digits": share(c["marks"]["digits"]),
+            **{n: per_word(c["marks"][n]) for n in ("symbols", "bars", "bangs", "stops", "commas")},
+        }
+        return F.struct(*(found[n].cast("double").alias(n) for n in NAMES))
+
+    return let(_counts(text), made)
 
 
 NAMES = ("log_words", "word_length", "distinct_words", "distinct_lines", "line_words", "upper", "digits", "symbols", "bars", "bangs", "stops", "commas")
@@ -177,19 +204,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rules:
     keep = F.pmod(F.xxhash64("doc_id"), F.lit(step)) < F.lit(min(step, int(1.2 * step * sample / max(total, 1)) + 1))
     texts = docs.where(keep).select(F.col("doc_id").alias("_id"), "text")
     seen = texts.join(marked.where(keep), F.col("_id") == F.col("doc_id"))
-    columns = [c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()]
-    seen = seen.select(F.pmod(F.xxhash64("doc_id"), F.lit(step)).alias("_at"), "doc_id", F.col("quality").cast("double").alias("quality"), *columns)
+    seen = seen.select(F.pmod(F.xxhash64("doc_id"), F.lit(step)).alias("_at"), "doc_id", F.col("quality").cast("double").alias("quality"), statistics(F.col("text")).alias("_stats"))
+    seen = seen.select("_at", "doc_id", "quality", "_stats.*")
     rows = seen.orderBy("_at", "doc_id", *NAMES).limit(sample).toPandas()
     return fit_rows(rows[list(NAMES)].to_numpy(float), rows["quality"].to_numpy(float))
 
 
 def score(docs: DataFrame, rules: Rules, text_col: str = "text", name: str = "score") -> DataFrame:
     """docs with the score of each text in the column ``name``."""
-    used = {n for tests, _ in rules.rules for n, *_ in tests} | {n for n, *_ in rules.linear}
-    stats = F.struct(*(c.cast("double").alias(n) for n, c in statistics(F.col(text_col)).items() if n in used)) if used else F.struct(F.lit(0).alias("none"))
     keep = [F.col(f"`{c}`") for c in docs.columns if c != name]
-    held = docs.select(*keep, stats.alias("__quality_stats"))
-    return held.select(*keep, rules.column(lambda n: F.col(f"__quality_stats.{n}")).alias(name))
+    return docs.select(*keep, let(statistics(F.col(f"`{text_col}`")), lambda s: rules.column(lambda n: s[n])).alias(name))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
