@@ -2,54 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A word: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI.
-
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset, and only
-    in local mode, a folder under /tmp/checkpoints takes its place.
-    """
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        os.makedirs("/tmp/checkpoints", exist_ok=True)
-        found = "file://" + tempfile.mkdtemp(dir="/tmp/checkpoints")
-        context.setCheckpointDir(found)
-    return found if ":" in found.split("/")[0] else "file://" + os.path.abspath(found)
+from ..storage import discard, free_name, fresh_path, materialize, shared_dir
 
+__all__ = ["WORD", "discard", "free_name", "fresh_path", "materialize", "mix64", "n_words", "open_fs", "prefix_hash", "shared_dir", "span_hash", "utf8", "window_hashes", "word_hashes", "word_spans"]
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: a lost executor costs no recomputation."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files that ``materialize`` wrote for df, once nothing reads them any more."""
-    spark = df.sparkSession
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop).delete(path, True)
+#: A word: a run of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def open_fs(uri: str):

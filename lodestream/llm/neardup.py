@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, mix64, utf8, window_hashes, word_hashes
+from .common import discard, free_name, materialize, mix64, utf8, window_hashes, word_hashes
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -298,8 +298,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose class has a smaller id; of rows that share an id all stay or go."""
-    found = classes(docs, id_col, text_col).where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__later")).distinct()
-    return docs.join(found, docs[id_col].cast("long") == F.col("__later"), "left_anti")
+    later = free_name("later", docs.columns)
+    found = classes(docs, id_col, text_col)
+    # a row without id is the smallest of its class
+    found = found.where(F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(later)).distinct()
+    return docs.join(found, F.col(f"`{id_col}`").cast("long") == F.col(later), "left_anti")
 
 
 def op2_neardup(spark, sf_dir: str) -> DataFrame:
