@@ -11,7 +11,8 @@ smallest key is a response and the others are revisits that refer to it.
 
 Defined cases: a null html is an empty payload; a null url leaves the target out; rows
 that share key and payload with the smallest are all responses; a null key sorts first,
-and is a revisit where a row with a key has its payload; an empty table writes no files
+and is a revisit where a row with a key has its payload; rows that share a key, or have
+none, are split over shards by their digests where they are more than one shard holds; an empty table writes no files
 but a manifest, and reads back as no rows; other columns are ignored, whatever their names.
 """
 
@@ -23,12 +24,13 @@ import re
 import uuid
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh_path, open_fs, utf8
 
 REVISIT_FROM = 100
+_LOWEST = -(1 << 63)
 SHARD_BYTES = 32 << 20
 ROLL_BYTES = 8 << 20
 #: At most about this many keys are looked at to set the bounds of shards.
@@ -140,19 +142,46 @@ def _writer(root: str, roll_bytes: int):
     return write
 
 
-def _bounds(keys: DataFrame, shard_bytes: int, sample: int) -> tuple[list[int], int]:
-    """Keys at which shards begin, from a sample by hash whose size is bounded; and the number of shards."""
+def _tie(digest: Column) -> Column:
+    """What splits rows of one key."""
+    return F.xxhash64(digest)
+
+
+def _bounds(keys: DataFrame, shard_bytes: int, sample: int) -> tuple[list[tuple[int, int]], int]:
+    """Keys and ties at which shards begin, from a sample by hash whose size is bounded; and the number of shards."""
     step = max(1, -(-keys.count() // sample))
-    found = keys.where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0).groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").collect()
+    at = keys.select(F.coalesce("key", F.lit(_LOWEST)).alias("key"), _tie(F.col("digest")).alias("tie"), "n")
+    found = at.where(F.pmod(F.xxhash64("key", "tie"), F.lit(step)) == 0).groupBy("key", "tie").agg(F.sum("n").alias("n")).orderBy("key", "tie").collect()
     total = sum(r.n for r in found) * step
     shards, bounds, so_far = max(1, -(-total // shard_bytes)), [], 0
     for r in found:
         so_far += r.n * step
-        if r.key is not None and len(bounds) < shards - 1 and so_far * shards > total * (len(bounds) + 1):
-            bounds.append(r.key)
+        if len(bounds) < shards - 1 and so_far * shards > total * (len(bounds) + 1):
+            bounds.append((r.key, r.tie))
     return bounds, len(bounds) + 1
 
 
+def _shard_of(bounds: list[tuple[int, int]]):
+    """The shard of (key, tie): how many bounds are not above it."""
+    import numpy as np
+
+    keys, ties = (np.array([b[i] for b in bounds], "int64") for i in (0, 1))
+
+    @F.pandas_udf("int")
+    def shard_of(key, tie):
+        import pandas as pd
+
+        key, tie = key.to_numpy(), tie.to_numpy()
+        low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+        out = low.copy()
+        for i in np.unique(low[low < high]).tolist():  # bounds of one key: the tie decides among them
+            here = (low == i) & (high > i)
+            out[here] += np.searchsorted(ties[i : high[here][0]], tie[here], "right")
+        return pd.Series(out.astype("int32"))
+
+    return shard_of
+
+
 def write_archives(pages: DataFrame, root: str, key_col: str = "page_id", url_col: str = "url", html_col: str = "html", revisit_from: int = REVISIT_FROM, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, sample: int = SAMPLE) -> DataFrame:
     """Write the pages below root; returns the manifest that was committed.
 
@@ -167,16 +196,8 @@ def write_archives(pages: DataFrame, root: str, key_col: str = "page_id", url_co
     groups = keys.where(F.col("n") >= revisit_from).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("copies"))
     groups = groups.where((F.col("copies") > 1) & F.col("first").isNotNull()).select(F.col("digest").alias("g_digest"), "first")
     again = keys.join(groups, F.col("digest") == F.col("g_digest")).where(F.col("key").isNull() | (F.col("key") != F.col("first")))
-    bounds, shards = _bounds(rows.select("key", "n"), shard_bytes, sample)
-
-    @F.pandas_udf("int")
-    def shard_of(key):
-        import numpy as np
-        import pandas as pd
-
-        return pd.Series(np.searchsorted(np.array(bounds, "int64"), key.to_numpy(), "right").astype("int32"))
-
-    shard = shard_of(F.coalesce(F.col("key"), F.lit(-(1 << 63)))) if bounds else F.lit(0)
+    bounds, shards = _bounds(rows.select("key", "digest", "n"), shard_bytes, sample)
+    shard = _shard_of(bounds)(F.coalesce(F.col("key"), F.lit(_LOWEST)), _tie(F.col("digest"))) if bounds else F.lit(0)
     decisions = again.select(shard.alias("shard"), "key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "first")
     records = rows.select(shard.alias("shard"), "key", "url", "html", "digest", F.lit(None).cast("long").alias("first"))
     dealt = decisions.unionByName(records).repartitionById(shards, F.col("shard"))
@@ -187,11 +208,21 @@ def write_archives(pages: DataFrame, root: str, key_col: str = "page_id", url_co
     return dealt.sparkSession.read.schema(_MANIFEST).json(f"{root}/manifest")
 
 
-def _members(data: bytes):
+def _members(stream, size: int = 1 << 16):
+    """The members of a gzip stream, one after the other; it is read in pieces, so what follows a member's end is copied once and no more."""
+    inflate, out, data = None, [], stream.read(size)
     while data:
-        inflate = zlib.decompressobj(31)
-        yield inflate.decompress(data)
-        data = inflate.unused_data
+        if inflate is None:
+            inflate, out = zlib.decompressobj(31), []
+        out.append(inflate.decompress(data))
+        if inflate.eof:
+            yield b"".join(out)
+            data, inflate = inflate.unused_data, None
+        else:
+            data = b""
+        data = data or stream.read(size)
+    if inflate is not None:
+        raise ValueError("the last member is cut off")
 
 
 def _parse(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -209,24 +240,23 @@ def _reader(root: str, digests_only: bool):
         names = ["page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
         for batch in batches:
             for file in batch.column("file").to_pylist():
-                with fs.open_input_stream(f"{path}/{file}", compression=None) as stream:
-                    data = stream.read()
                 out = []
-                for member in _members(data):
-                    fields, rest = _parse(member)
-                    if fields["WARC-Type"] == "warcinfo":
-                        continue
-                    block = rest[: int(fields["Content-Length"])]
-                    if f"sha256:{hashlib.sha256(block).hexdigest()}" != fields["WARC-Block-Digest"]:
-                        raise ValueError(f"{file}: the block of {fields['WARC-Record-ID']} is damaged")
-                    http, payload = _parse(block)
-                    digest, n = fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(http["Content-Length"])
-                    if fields["WARC-Type"] == "response":
-                        digest, n = hashlib.sha256(payload).hexdigest(), len(payload)
-                    key, first = fields.get("X-Key"), fields.get("X-Refers-To-Key")
-                    url = json.loads(fields["X-Target"]) if "X-Target" in fields else None
-                    kept = payload if fields["WARC-Type"] == "response" and not digests_only else None
-                    out.append((key and int(key), url, fields["WARC-Type"], kept, n, digest, first and int(first)))
+                with fs.open_input_stream(f"{path}/{file}", compression=None) as stream:
+                    for member in _members(stream):
+                        fields, rest = _parse(member)
+                        if fields["WARC-Type"] == "warcinfo":
+                            continue
+                        block = rest[: int(fields["Content-Length"])]
+                        if f"sha256:{hashlib.sha256(block).hexdigest()}" != fields["WARC-Block-Digest"]:
+                            raise ValueError(f"{file}: the block of {fields['WARC-Record-ID']} is damaged")
+                        http, payload = _parse(block)
+                        digest, n = fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(http["Content-Length"])
+                        if fields["WARC-Type"] == "response":
+                            digest, n = hashlib.sha256(payload).hexdigest(), len(payload)
+                        key, first = fields.get("X-Key"), fields.get("X-Refers-To-Key")
+                        url = json.loads(fields["X-Target"]) if "X-Target" in fields else None
+                        kept = payload if fields["WARC-Type"] == "response" and not digests_only else None
+                        out.append((key and int(key), url, fields["WARC-Type"], kept, n, digest, first and int(first)))
                 columns = list(zip(*out, strict=True)) or [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
@@ -239,9 +269,11 @@ def read_archives(spark: SparkSession, root: str, digests_only: bool = False) ->
     Digests are checked and computed anew from the payloads.  A revisit has no payload of
     its own; with digests_only no record brings its payload along.
     """
-    files = spark.read.schema(_MANIFEST).json(f"{root}/manifest").select("file")
-    tasks = max(1, min(files.count(), 4 * spark.sparkContext.defaultParallelism))
-    return files.repartition(tasks).mapInArrow(_reader(root, digests_only), _RECORDS)
+    files = spark.read.schema(_MANIFEST).json(f"{root}/manifest")
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    # a lost task costs one shard's worth of reading, whatever the number of files
+    tasks = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))))
+    return files.select("file").repartition(tasks).mapInArrow(_reader(root, digests_only), _RECORDS)
 
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:
