@@ -1,9 +1,15 @@
 """Mixing sources to target weights, with DataFrame functions alone.
 
-Words are summed per source (map-side partial sums, so a hot source costs no more than
-another), targets are set on the table of sources, and each document is then emitted
-floor(rate) times plus one Bernoulli copy whose probability is the fraction.  The coin
-is an MD5 of seed and document id: reruns and retried tasks agree.
+Words are counted once and summed per source (map-side partial sums, so a hot source
+costs no more than another), targets are set on the table of sources, and each document
+is then emitted floor(rate) times plus one Bernoulli copy whose probability is the
+fraction.  The coin is an MD5 of seed and document id: reruns and retried tasks agree.
+
+Coins drawn independently miss the target of a small source by chance.  So all coins of
+a source are turned by the same angle, one of ``TURNS`` on the circle [0, 1): each coin
+stays uniform, the words taken are the target on the average over all angles, and the
+angle is used at which they come nearest to it.  The words for each angle are sums per
+source, which tasks add up before the shuffle, like the sizes.
 
 Defined cases: a null text has no words; a null source is a source of its own, after
 all others; a source without words has target 0 and gives no copies; rows that repeat
@@ -16,13 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words
+from .common import free_name, materialize, n_words
 
 #: Weights of the sources by code point, null last, repeating.
 WEIGHTS = (1, 2, 3)
 #: No source is repeated more often than this.
 MAX_REPEAT = 3
 SEED = "mix-1"
+#: Angles at which the coins of a source are tried.
+TURNS = 64
 
 
 def coin(key: Column, seed: str = SEED) -> Column:
@@ -56,34 +64,59 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return table.select("source", "source_size", target.alias("target"))
 
 
+def _turned(coin: Column, turn: Column | int) -> Column:
+    """A coin turned by turn / TURNS of the circle; exact, as coins have 52 bits."""
+    angle = coin + turn / F.lit(float(TURNS))
+    return F.when(angle >= 1, angle - 1).otherwise(angle)
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
+    """(doc_id, source, size, coin) of each document, written once: texts are read for it a single time."""
+    return materialize(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), n_words(F.col(f"`{text_col}`")).alias("size"), coin(F.col(f"`{id_col}`"), seed).alias("coin")), "sizes")
+
+
+def source_rates(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """(source, source_size, target, rate, turn) from rows (source, size, coin), a row per source."""
+    table = source_targets(sized.select("source", "size"), weights, max_repeat)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    table = materialize(table.withColumn("rate", rate), "rates")
+    part = table.select(F.col("source").alias("_source"), (F.col("rate") - F.floor("rate")).alias("_part"))
+    each = sized.join(part, F.col("source").eqNullSafe(F.col("_source")))
+    taken = [F.sum(F.when(_turned(F.col("coin"), k) < F.col("_part"), F.col("size")).otherwise(0)).alias(f"t{k}") for k in range(TURNS)]
+    sums = each.groupBy("source").agg(*taken).select(F.col("source").alias("_source"), F.array(*(f"t{k}" for k in range(TURNS))).alias("_taken"))
+    both = table.join(sums, F.col("source").eqNullSafe(F.col("_source")), "left")
+    wanted = F.col("target") - F.floor("rate") * F.col("source_size")
+    misses = F.transform("_taken", lambda t, k: F.struct(F.abs(t - wanted).alias("miss"), k.alias("turn")))
+    return both.select("source", "source_size", "target", "rate", F.coalesce(F.array_min(misses)["turn"], F.lit(0)).alias("turn"))
+
+
+def _copies(coin: Column, rate: Column, turn: Column) -> Column:
+    whole = F.floor(rate)
+    return (whole + F.when(_turned(coin, turn) < rate - whole, 1).otherwise(0)).cast("long")
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken), a row per document.
 
     The join with the sources is an equi-join that Spark broadcasts only if the table of
     sources is below the session's threshold, and whose skew AQE splits otherwise.
     """
-    sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    table = source_targets(sizes.select("source", "size"), weights, max_repeat).withColumnRenamed("source", "_source")
-    joined = sizes.join(table, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = joined.withColumn("_rate", rate)
-    whole = F.floor("_rate")
-    copies = whole + F.when(coin(F.col("doc_id"), seed) < F.col("_rate") - whole, 1).otherwise(0)
-    joined = joined.withColumn("copies", copies.cast("long"))
+    sized = _sized(docs, id_col, text_col, source_col, seed)
+    table = source_rates(sized, weights, max_repeat).withColumnRenamed("source", "_source")
+    joined = sized.join(table, F.col("source").eqNullSafe(F.col("_source")), "left")
+    joined = joined.withColumn("copies", _copies(F.col("coin"), F.col("rate"), F.col("turn")))
     return joined.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mixed corpus: the columns of docs, each row as often as the mix takes it."""
-    sizes = docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    table = source_targets(sizes, weights, max_repeat)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    table = table.select(F.col("source").alias("__mix_source"), rate.alias("__mix_rate"))
-    whole = F.floor("__mix_rate")
-    copies = whole + F.when(coin(docs[id_col], seed) < F.col("__mix_rate") - whole, 1).otherwise(0)
-    joined = docs.join(table, docs[source_col].eqNullSafe(F.col("__mix_source")), "left")
-    joined = joined.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-    return joined.select(*(docs[f"`{c}`"] for c in docs.columns))
+    own_source, own_rate, own_turn, own_copy = (free_name(n, docs.columns) for n in ("mix_source", "mix_rate", "mix_turn", "mix_copy"))
+    table = source_rates(_sized(docs, id_col, text_col, source_col, seed), weights, max_repeat)
+    table = table.select(F.col("source").alias(own_source), F.col("rate").alias(own_rate), F.col("turn").alias(own_turn))
+    joined = docs.join(table, F.col(f"`{source_col}`").eqNullSafe(F.col(own_source)), "left")
+    copies = _copies(coin(F.col(f"`{id_col}`"), seed), F.col(own_rate), F.col(own_turn))
+    joined = joined.withColumn(own_copy, F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_mix(spark, sf_dir: str) -> DataFrame:
@@ -107,11 +140,23 @@ shares AS (
 levels AS (SELECT *, max(CASE WHEN share <= ratio THEN share END) OVER () AS level FROM shares),
 targets AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), level * weight) AS target FROM levels),
 rates AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
          CAST(('0x' || substr(md5('mix-1:' || CAST(d.doc_id AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS coin
-  FROM sizes d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM sizes d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+turned AS (
+  SELECT source, source_size, target, rate, turn, size,
+         CASE WHEN coin + turn / 64.0::DOUBLE >= 1 THEN coin + turn / 64.0::DOUBLE - 1 ELSE coin + turn / 64.0::DOUBLE END AS coin
+  FROM rates, (SELECT CAST(range AS INTEGER) AS turn FROM range(64))),
+tried AS (
+  SELECT source, turn, any_value(target) - floor(any_value(rate)) * any_value(source_size) AS wanted,
+         sum(CASE WHEN coin < rate - floor(rate) THEN size ELSE 0 END) AS taken
+  FROM turned GROUP BY source, turn),
+chosen AS (SELECT source, turn FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(taken - wanted), turn) AS rn FROM tried) WHERE rn = 1),
+final AS (
+  SELECT r.*, CASE WHEN coin + turn / 64.0::DOUBLE >= 1 THEN coin + turn / 64.0::DOUBLE - 1 ELSE coin + turn / 64.0::DOUBLE END AS turned
+  FROM rates r JOIN chosen c ON r.source IS NOT DISTINCT FROM c.source)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rates
+       CAST(size * (floor(rate) + CASE WHEN turned < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM final
 """
