@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -16,11 +17,69 @@ def matches(text: Column, pattern: str, flags: str = FLAGS) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(flags + pattern)), F.lit(False))
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """The parts of a pattern between its outermost bars."""
+    parts, depth, at, i = [], 0, 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif c in "([":
+            depth += 1
+        elif c in ")]":
+            depth -= 1
+        elif c == "|" and not depth:
+            parts.append(pattern[at:i])
+            at = i + 1
+        i += 1
+    return [*parts, pattern[at:]]
+
+
+def leads(pattern: str) -> list[str] | None:
+    """What a match of a pattern must begin with, at the start of a word, in small letters; none if a part doesn't say."""
+    found = []
+    for part in _alternatives(pattern):
+        lead = re.match(r"\\b([^\W_]+)(?=(.?))", part)
+        lead = lead and (lead[1][:-1] if lead[2] in ("?", "*", "{") and lead[2] else lead[1])
+        if not lead:
+            return None
+        found.append(lead.lower())
+    return found
+
+
+def _folded(text: Column) -> Column:
+    """Small letters, also of the three characters that match a letter of a pattern in any case but are no capitals of it."""
+    return F.lower(F.translate(text, "\u0130\u017f\u212a", "isk"))
+
+
 def first_match(text: Column, table: Iterable[tuple[str, str]], default: str = "", flags: str = FLAGS) -> Column:
-    """The label of the first rule whose pattern occurs in a text, else default."""
+    """The label of the first rule whose pattern occurs in a text, else default.
+
+    One pass over the text finds which of the rules' first letters occur at the start of
+    a word; a rule is tried only if one of its own does.  A lead that begins with another
+    stands for it, so no two leads begin at the same place.
+    """
+    table = list(table)
+    known = [leads(p) for _, p in table] if "i" in flags else [None] * len(table)
+    every = sorted({x for ls in known for x in ls or ()})
+    short = [x for x in every if not any(x != y and x.startswith(y) for y in every)]
+    if len(short) < 4:
+        return _first_of(text, table, default, flags, lambda _: None)
+    by_letter = "|".join(f"{c}(?:{'|'.join(x[1:] for x in short if x[0] == c)})" for c in sorted({x[0] for x in short}))
+    begin = {x: next(y for y in short if x.startswith(y)) for x in every}
+
+    def chosen(hits: Column) -> Column:
+        here = lambda ls: None if ls is None else F.arrays_overlap(hits, F.array(*(F.lit(x) for x in sorted({begin[y] for y in ls}))))
+        return F.when(F.size(hits) == 0, _first_of(text, [r for r, k in zip(table, known, strict=True) if k is None], default, flags, lambda _: None)).otherwise(_first_of(text, table, default, flags, lambda i: here(known[i])))
+
+    return let(F.array_distinct(F.regexp_extract_all(F.coalesce(_folded(text), F.lit("")), F.lit(rf"(?U)\b({by_letter})"), F.lit(1))), chosen)
+
+
+def _first_of(text: Column, table: list[tuple[str, str]], default: str, flags: str, guard) -> Column:
     chain = None
-    for label, pattern in table:
-        test = matches(text, pattern, flags)
+    for i, (label, pattern) in enumerate(table):
+        test, first = matches(text, pattern, flags), guard(i)
+        test = test if first is None else first & test
         chain = F.when(test, F.lit(label)) if chain is None else chain.when(test, F.lit(label))
     return F.lit(default) if chain is None else chain.otherwise(F.lit(default))
 

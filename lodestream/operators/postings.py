@@ -44,7 +44,8 @@ ALIASES = {
 LIST_KEYS = "jobs data results items positions vacancies postings openings offers jobPostings content requisitions vagas list records hits".split()
 
 
-def _pick(item: Column, paths: list[str]) -> Column:
+def first_value(item: Column, paths: list[str]) -> Column:
+    """The first value of a variant, in the order of paths, that is neither null nor empty; else the empty string."""
     return F.coalesce(*(F.nullif(F.try_variant_get(item, p, "string"), F.lit("")) for p in paths), F.lit(""))
 
 
@@ -61,7 +62,7 @@ def from_vendor(payloads: DataFrame, vendor: str, payload_col: str = "payload",
     if vendor == "smartrecruiters":
         status = F.lower(F.coalesce(F.try_variant_get(item, "$.status", "string"), F.lit("")))
         rows = rows.where(status.isin("", "active", "published"))
-    value = {name: _pick(item, fields.get(name, [])) if fields.get(name) else F.lit("") for name in _FIELDS}
+    value = {name: first_value(item, fields.get(name, [])) if fields.get(name) else F.lit("") for name in _FIELDS}
     if vendor in ("recruitee", "workable"):
         key = "slug" if vendor == "recruitee" else "shortcode"
         folder = "/o/" if vendor == "recruitee" else "/j/"
@@ -120,6 +121,17 @@ def walk(value):
             stack.extend(reversed(v))
 
 
+def walked(payloads: Column) -> Column:
+    """Every dict of each JSON text, parents first, as maps of texts; none for what is no JSON."""
+
+    @F.pandas_udf("array<map<string,string>>")
+    def run(texts: pd.Series) -> pd.Series:
+        dicts = lambda t: [{k: v if isinstance(v, str) else json.dumps(v) for k, v in d.items()} for d in walk(salvage(t))] if t else []
+        return texts.map(dicts)
+
+    return run(payloads)
+
+
 def salvage(text: str):
     """JSON of a script body: as it is, without line ends, or from the first brace to the last."""
     tries = (lambda: text, lambda: re.sub(r"[\r\n\t]+", " ", text), lambda: text[text.index("{") : text.rindex("}") + 1])

@@ -117,6 +117,35 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return counted.withColumn("percent", 100.0 * F.col("n") / df.agg(F.count("*")).scalar())
 
 
+def top_counts(df: DataFrame, column: str, most: int) -> DataFrame:
+    """(column, n) of the most frequent values, ties by value; tasks drop all but ``most`` before the last one sorts."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(most)
+
+
+def blank_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row (n, and per column the number of values that are null or blank)."""
+    return df.agg(F.count("*").alias("n"), *(F.count_if(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "").alias(c) for c in columns))
+
+
+def group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """df with the number of rows that share its keys: counted before the shuffle and joined back, so a key that many rows share is no single task's."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias(name))
+    return df.join(counts, list(keys), "left")
+
+
+def union_rows(*parts: DataFrame) -> DataFrame:
+    """Rows of all parts, by name; a column that a part lacks is null there."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
+def union_first(parts: Sequence[DataFrame], key: str, name: str = "part") -> DataFrame:
+    """Each key of the parts once, with the number (from 1) of the first part that has it."""
+    return union_rows(*(p.select(key, F.lit(i).alias(name)) for i, p in enumerate(parts, 1))).groupBy(key).agg(F.min(name).alias(name))
+
+
 def unpivot_metrics(totals: DataFrame) -> DataFrame:
     """One row of metrics as rows (metric, value)."""
     return totals.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in totals.columns))).alias("m")).select("m.*")
@@ -142,6 +171,12 @@ def upper_median(df: DataFrame, column: str) -> DataFrame:
     return own.select("v", upto.alias("upto")).where(F.col("upto") > total // 2).agg(F.min("v").alias("median"), F.lit(total).cast("long").alias("n"))
 
 
+def positive_statistics(df: DataFrame, column: str) -> DataFrame:
+    """One row (total, low, high, mean, n) of the positive values."""
+    v = F.col(column)
+    return df.where(v > 0).agg(F.sum(v).alias("total"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.count("*").alias("n"))
+
+
 def snapshot_delta(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """(key, before, after, delta) of values whose counts differ."""
     a = before.groupBy(key).agg(F.count("*").alias("before"))

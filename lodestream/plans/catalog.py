@@ -11,10 +11,11 @@ from ..functions import names, numbers, text, urls
 from ..functions import html as pages_html
 from ..functions import vocabulary as V
 from ..functions.rules import filled, first_match
-from ..operators import incremental, relational
+from ..operators import attribution, incremental, postings, relational
 from ..operators import pages as page_ops
+from ..storage import materialize
 from ..streaming import state
-from . import run
+from . import export, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -51,18 +52,22 @@ def oracle_sql() -> dict[str, str]:
 WITH posted AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-07-01'),
 latest AS (SELECT o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) rn FROM posted) WHERE rn = 1),
 counts AS (SELECT o_custkey, count(*) n, count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) leaders FROM posted GROUP BY 1)
-SELECT c_custkey AS company, c_name AS name, CASE WHEN coalesce(n, 0) > 0 THEN 'Jobs Found' ELSE coalesce(o_orderstatus, 'NOT PROCESSED') END AS status,
+SELECT CAST(c_custkey AS VARCHAR) AS company, c_name AS name, CASE WHEN coalesce(n, 0) > 0 THEN 'Jobs Found' ELSE coalesce(o_orderstatus, 'NOT PROCESSED') END AS status,
        CAST(coalesce(n, 0) AS INTEGER) AS postings, CAST(coalesce(leaders, 0) AS INTEGER) AS leadership_postings
 FROM customer LEFT JOIN latest ON c_custkey = latest.o_custkey LEFT JOIN counts ON c_custkey = counts.o_custkey
 """)
 def export_coverage(t, spark):
+    """Customers as companies, their orders of half a year as scraped rows: urgent ones are leaders' postings."""
     posted = t("orders").where((F.col("o_orderdate") >= "1996-01-01") & (F.col("o_orderdate") < "1996-07-01"))
-    latest = relational.keep_last(posted, ["o_custkey"], "o_orderkey").select(F.col("o_custkey").alias("k1"), "o_orderstatus")
-    counts = posted.groupBy(F.col("o_custkey").alias("k2")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("leaders"))
-    rows = t("customer").join(latest, F.col("c_custkey") == F.col("k1"), "left").join(counts, F.col("c_custkey") == F.col("k2"), "left")
-    n = F.coalesce("n", F.lit(0)).cast("int")
-    status = F.when(n > 0, "Jobs Found").otherwise(F.coalesce("o_orderstatus", F.lit("NOT PROCESSED")))
-    return rows.select(F.col("c_custkey").alias("company"), F.col("c_name").alias("name"), status.alias("status"), n.alias("postings"), F.coalesce("leaders", F.lit(0)).cast("int").alias("leadership_postings"))
+    company = t("customer").select(F.col("c_custkey"), F.col("c_custkey").cast("string").alias("KEYID"), F.col("c_name").alias("COMPANY_NAME"), F.col("c_custkey").cast("string").alias("WEBSITE"), F.col("c_mktsegment").alias("COUNTRY"))
+    title = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Head of Sales").otherwise("Clerk")
+    scraped = posted.join(company, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("COMPANY_NAME").alias("company_name"), F.col("WEBSITE").alias("website"), F.col("COUNTRY").alias("country"), F.col("o_orderkey").alias("row_idx"), F.col("o_orderstatus").alias("job_status"),
+        title.alias("job_title"), F.col("o_orderkey").cast("string").alias("job_url"), F.lit("").alias("career_page_url"), F.lit("").alias("resolved_website"),
+    )
+    companies = company.drop("c_custkey")
+    covered = export.coverage(companies, scraped, export.postings(companies, scraped))
+    return covered.select(F.col("KEYID").alias("company"), F.col("COMPANY_NAME").alias("name"), "status", "postings", "leadership_postings")
 
 
 @_query("SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) rn FROM orders) WHERE rn = 1")
@@ -134,13 +139,18 @@ def offset_limit(t, spark):
 
 
 @_query("""
-SELECT s_nationkey = c_nationkey AS same_country, o_orderpriority AS priority, count(*) AS n
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
+SELECT NOT placed OR s_nationkey = c_nationkey AS same_country, o_orderpriority AS priority, count(*) AS n
+FROM (SELECT *, l_linenumber % 3 > 0 AS placed FROM lineitem) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
 """)
 def split_same_country(t, spark):
-    rows = t("lineitem").select("l_orderkey", "l_suppkey").join(t("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    """Lines as delivered rows: the supplier's nation is the posting's, the customer's the company's; each third line says no place."""
+    rows = t("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber").join(t("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.groupBy((F.col("s_nationkey") == F.col("c_nationkey")).alias("same_country"), F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    placed = F.when(F.pmod("l_linenumber", F.lit(3)) > 0, "job_location").otherwise("company")
+    rows = rows.select(F.col("s_nationkey").alias("Country"), F.col("c_nationkey").alias("Company Country"), placed.alias("Location Country Source"), F.col("o_orderpriority").alias("priority"))
+    same, rest = export.split_same_country(rows)
+    both = same.select(F.lit(True).alias("same_country"), "priority").unionByName(rest.select(F.lit(False).alias("same_country"), "priority"))
+    return both.groupBy("same_country", "priority").agg(F.count("*").alias("n"))
 
 
 # ---- aggregates and audits ----
@@ -172,25 +182,31 @@ def positive_upper_median(t, spark):
 SELECT round(sum(c_acctbal), 2) AS total, min(c_acctbal) AS low, max(c_acctbal) AS high, round(avg(c_acctbal), 6) AS mean, count(*) AS n FROM customer WHERE c_acctbal > 0
 """)
 def positive_statistics(t, spark):
-    b = F.col("c_acctbal")
-    return t("customer").where(b > 0).agg(F.round(F.sum(b), 2).alias("total"), F.min(b).alias("low"), F.max(b).alias("high"), F.round(F.avg(b), 6).alias("mean"), F.count("*").alias("n"))
+    found = relational.positive_statistics(t("customer"), "c_acctbal")
+    return found.select(F.round("total", 2).alias("total"), "low", "high", F.round("mean", 6).alias("mean"), "n")
 
 
 @_query("""
-WITH m AS (SELECT CAST(count(*) AS DOUBLE) orders, CAST(count(DISTINCT o_custkey) AS DOUBLE) customers, CAST(count(*) FILTER (o_orderstatus = 'F') AS DOUBLE) finished,
-  CAST(count(*) FILTER (regexp_matches(o_orderpriority, '(?i)urgent|high')) AS DOUBLE) urgent, CAST(count(*) FILTER (o_totalprice > 200000) AS DOUBLE) large FROM orders)
-UNPIVOT m ON orders, customers, finished, urgent, large INTO NAME metric VALUE value
+SELECT 'companies' AS metric, count(*) AS value FROM customer UNION ALL SELECT 'distinct_companies', count(DISTINCT c_custkey) FROM customer
+UNION ALL SELECT 'postings', count(*) FROM orders UNION ALL SELECT 'companies_with_postings', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'leadership_postings', count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'with_description', count(*) FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT 'with_salary', count(*) FROM orders WHERE o_totalprice > 200000
 """)
 def summary_metrics(t, spark):
+    companies = t("customer").select(F.col("c_custkey").alias("KEYID"))
     o = t("orders")
-    totals = o.agg(F.count("*").alias("orders"), F.countDistinct("o_custkey").alias("customers"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"), F.count_if(F.col("o_orderpriority").rlike("(?i)urgent|high")).alias("urgent"), F.count_if(F.col("o_totalprice") > 200000).alias("large"))
-    return relational.unpivot_metrics(totals)
+    posted = o.select(
+        F.col("o_custkey").alias("KEYID"), F.when(F.col("o_orderpriority") == "1-URGENT", "Director").otherwise("Cook").alias("job_title"), F.when(F.col("o_orderstatus") == "P", " ").otherwise("x").alias("job_description_clean"),
+        F.when(F.col("o_totalprice") > 200000, "5").otherwise("").alias("salary"), F.lit("").alias("posted_date"), F.lit("").alias("skills"), F.lit("").alias("education_type"), F.lit("").alias("job_location"), F.lit("").alias("employment_type"),
+    )
+    covered = companies.select("KEYID", F.lit("Jobs Found").alias("status"))
+    wanted = ("companies", "distinct_companies", "postings", "companies_with_postings", "leadership_postings", "with_description", "with_salary")
+    return export.summary(companies, posted, covered).where(F.col("metric").isin(*wanted))
 
 
-@_query("SELECT count(*) FILTER (trim(coalesce(p_name, '')) = '') AS blank_names, count(*) FILTER (trim(coalesce(p_brand, '')) = '') AS blank_brands, count(*) AS n FROM part")
+@_query("SELECT count(*) FILTER (trim(coalesce(p_name, '')) = '') AS p_name, count(*) FILTER (trim(coalesce(p_brand, '')) = '') AS p_brand, count(*) AS n FROM part")
 def blank_counts(t, spark):
-    blank = lambda c: F.count_if(F.trim(F.coalesce(c, F.lit(""))) == "")
-    return t("part").agg(blank("p_name").alias("blank_names"), blank("p_brand").alias("blank_brands"), F.count("*").alias("n"))
+    return relational.blank_counts(t("part"), ["p_name", "p_brand"])
 
 
 @_query("""
@@ -204,39 +220,41 @@ def snapshot_delta(t, spark):
 
 @_query("SELECT c_custkey, c_name, n FROM (SELECT o_custkey, count(*) n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey ORDER BY n DESC, c_custkey LIMIT 10")
 def topk_ties(t, spark):
-    counts = t("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    return counts.join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).orderBy(F.desc("n"), "c_custkey").limit(10).select("c_custkey", "c_name", "n")
+    best = relational.top_counts(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", 10)
+    return best.join(t("customer"), "c_custkey").select("c_custkey", "c_name", "n")
 
 
 @_query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 8")
 def top_frequencies(t, spark):
-    return t("events").groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "event_type").limit(8)
+    return relational.top_counts(t("events"), "event_type", 8)
 
 
 @_query("""
-SELECT l_orderkey, l_linenumber, rn AS place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END, l_linenumber) AS INTEGER) rn FROM lineitem) WHERE rn <= 3
+SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END, l_linenumber) rn FROM lineitem) WHERE rn <= 3
 """)
 def priority_cap(t, spark):
     order = [F.when(F.col("l_returnflag") == "R", 0).otherwise(1), "l_linenumber"]
-    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
-    return t("lineitem").withColumn("place", nth).where("place <= 3").select("l_orderkey", "l_linenumber", "place")
+    return relational.top_per_key(t("lineitem"), ["l_orderkey"], order, 3).select("l_orderkey", "l_linenumber")
 
 
 @_query("SELECT o_orderkey, o_custkey, count(*) OVER (PARTITION BY o_custkey) AS num_positions FROM orders")
 def positions_per_company(t, spark):
-    return t("orders").select("o_orderkey", "o_custkey", F.count("*").over(Window.partitionBy("o_custkey")).alias("num_positions"))
+    return relational.group_size(t("orders").select("o_orderkey", "o_custkey"), ["o_custkey"], "num_positions").select("o_orderkey", "o_custkey", "num_positions")
 
 
 @_query("""
-SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) FILTER (o_orderstatus = 'O') AS first_open FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'O') > 0
+SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) FILTER (o_orderstatus = 'O') AS first_open, min(o_orderkey) FILTER (o_orderstatus = 'O') AS o_orderkey FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'O') > 0
 """)
 def first_filled_value(t, spark):
-    return t("orders").where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first_open"))
+    rows = t("orders").withColumn("first_open", F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority")).otherwise(" "))
+    return attribution.first_filled(rows, "o_custkey", "first_open", "o_orderkey").select("o_custkey", "first_open", "o_orderkey")
 
 
-@_query("SELECT o_orderstatus AS status, count(*) AS processed, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+@_query("SELECT o_orderstatus AS status, count(*) AS companies, CAST(sum(o_orderkey % 4) AS BIGINT) AS jobs FROM orders GROUP BY 1")
 def run_counters(t, spark):
-    return t("orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("processed"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    """Orders as companies of a run, each with as many postings as its key modulo 4."""
+    found = t("orders").select(F.col("o_orderstatus").alias("status"), F.array_repeat(F.lit(1), F.pmod("o_orderkey", F.lit(4)).cast("int")).alias("jobs"))
+    return run.counters(found)
 
 
 # ---- sets, sorts, merges ----
@@ -244,13 +262,14 @@ def run_counters(t, spark):
 
 @_query("SELECT c_nationkey AS nationkey, count(*) AS n FROM (SELECT c_nationkey FROM customer UNION ALL SELECT s_nationkey FROM supplier) GROUP BY 1")
 def union_all(t, spark):
-    return t("customer").select(F.col("c_nationkey").alias("nationkey")).unionByName(t("supplier").select(F.col("s_nationkey").alias("nationkey"))).groupBy("nationkey").agg(F.count("*").alias("n"))
+    rows = relational.union_rows(t("customer").select(F.col("c_nationkey").alias("nationkey"), "c_name"), t("supplier").select(F.col("s_nationkey").alias("nationkey")))
+    return rows.groupBy("nationkey").agg(F.count("*").alias("n"))
 
 
-@_query("SELECT key, min(method) AS method FROM (SELECT o_custkey AS key, 1 AS method FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT c_custkey, 2 FROM customer) GROUP BY 1")
+@_query("SELECT key, CAST(min(method) AS INTEGER) AS method FROM (SELECT o_custkey AS key, 1 AS method FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT c_custkey, 2 FROM customer) GROUP BY 1")
 def union_first_method(t, spark):
-    both = t("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key"), F.lit(1).alias("method")).unionByName(t("customer").select(F.col("c_custkey").alias("key"), F.lit(2).alias("method")))
-    return both.groupBy("key").agg(F.min("method").alias("method"))
+    finished = t("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key"))
+    return relational.union_first([finished, t("customer").select(F.col("c_custkey").alias("key"))], "key", "method")
 
 
 @_query("SELECT d.doc_id, d.lang, CASE WHEN l.doc_id IS NULL THEN -1 ELSE coalesce(l.quality, -2) END AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
@@ -271,11 +290,14 @@ def schema_migrate(t, spark):
 
 
 @_query("""
-SELECT p_partkey, CASE WHEN p_size < 1 OR p_size > 50 THEN 'size is out of range' WHEN p_brand NOT IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21', 'Brand#22') THEN 'brand is not in the list' END AS error FROM part
+SELECT p_partkey, CASE WHEN p_brand NOT IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21', 'Brand#22') THEN 'seniority is not in the list' WHEN lo > 80 THEN 'min_years is out of range' WHEN hi > 80 THEN 'max_years is out of range'
+  WHEN lo > hi THEN 'min_years is above max_years' WHEN NOT contains(p_name, 'a') THEN 'salary_disclosed has no evidence' END AS error FROM (SELECT *, p_size * 2 AS lo, p_partkey % 90 AS hi FROM part)
 """)
 def validate_enum_range(t, spark):
-    fault = F.when(~F.col("p_size").between(1, 50), "size is out of range").when(~F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#13", "Brand#21", "Brand#22"), "brand is not in the list")
-    return t("part").select("p_partkey", fault.alias("error"))
+    """Parts as extractions: brands as levels, sizes as years, names with an a as texts that speak of salary."""
+    level = F.when(F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#13", "Brand#21", "Brand#22"), "Senior").otherwise("Boss")
+    said = F.struct(level.alias("seniority"), (F.col("p_size") * 2).cast("int").alias("min_years"), F.pmod("p_partkey", F.lit(90)).cast("int").alias("max_years"), F.lit(True).alias("salary_disclosed"))
+    return t("part").select("p_partkey", incremental.validate(said, F.when(F.col("p_name").contains("a"), "the salary").otherwise("")).alias("error"))
 
 
 # ---- text ----
@@ -285,11 +307,11 @@ def clean_text(t, spark):
     return t("documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
-@_query(rf"""
-SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '[,;\n|]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g')) <> '')) AS INTEGER) AS parts FROM documents
+@_query(r"""
+SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(text, '[,;\n|]'), lambda x: rtrim(substr(trim(regexp_replace(x, '\s+', ' ', 'g')), 1, 500))), lambda x: x <> ''), chr(31)) AS parts FROM documents
 """)
 def to_list(t, spark):
-    return t("documents").select("doc_id", F.size(text.to_list(F.col("text"))).alias("parts"))
+    return t("documents").select("doc_id", F.array_join(text.to_list(F.col("text")), "\x1f").alias("parts"))
 
 
 @_query(rf"""
@@ -301,7 +323,7 @@ def rule_first_match(t, spark):
 
 
 def _sql_rules(column: str, table, first: int | None = None) -> str:
-    quoted = lambda p: p.replace("'", "''").replace("(?!\\w)", "").replace("(?=\\s|$)", "")
+    quoted = lambda p: p.replace("'", "''").replace("(?!\\w)", "(?:[^\\pL\\pN_]|$)").replace("(?=\\s|$)", "(?:\\s|$)")
     source = f"substr({column}, 1, {first})" if first else column
     return "CASE " + " ".join(f"WHEN regexp_matches({source}, '(?i){quoted(p)}') THEN '{label}'" for label, p in table) + " ELSE '' END"
 
@@ -313,13 +335,12 @@ def classify_documents(t, spark):
     return t("documents").select("doc_id", first_match(head(4000), V.EMPLOYMENT).alias("employment_type"), first_match(head(2000), V.JOB_CATEGORY).alias("job_category"))
 
 
-@_query(rf"""
-WITH hits AS (SELECT p_partkey, list_transform(regexp_extract_all(lower(p_name || ' ' || p_type), '\b(steel|tin|brass|copper|red|blue|green)\b'), lambda x: upper(x[1]) || substr(x, 2)) AS h FROM part)
-SELECT p_partkey, array_to_string(list_filter(h, lambda x, i: list_position(h, x) = i), '; ') AS skills FROM hits
+@_query(f"""
+SELECT doc_id, regexp_matches(regexp_replace(substr(text, 1, 20000), '[^\\x00-\\x7F]', ' ', 'g'), '(?i)(?:^|[^a-z0-9])(?:{V.SKILLS.replace("'", "''")})(?:[^a-z0-9]|$)') AS skilled FROM documents
 """)
 def skill_extract(t, spark):
-    named = F.lower(F.concat_ws(" ", "p_name", "p_type"))
-    return t("part").select("p_partkey", text.skills(named, vocabulary="steel|tin|brass|copper|red|blue|green").alias("skills"))
+    """The whole vocabulary over whole texts; letters beyond ASCII are blanks on both sides, as word ends differ there."""
+    return t("documents").select("doc_id", (text.skills(F.regexp_replace(F.substring("text", 1, 20000), "[^\\x00-\\x7F]", " ")) != "").alias("skilled"))
 
 
 @_query("""
@@ -435,14 +456,17 @@ def url_join(t, spark):
 
 
 @_query("""
-SELECT page_id, url, CAST(score AS INTEGER) AS score, CAST(row_number() OVER (PARTITION BY host ORDER BY score DESC, length(url), url) AS INTEGER) AS place FROM (
-  SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1)) AS host, CASE WHEN contains(url, 'page=') THEN 0 ELSE 20 END + CASE WHEN contains(url, '#') THEN 0 ELSE 10 END + CASE WHEN url LIKE 'https:%' THEN 5 ELSE 0 END AS score FROM pages)
+WITH p AS (SELECT page_id, regexp_replace(string_split(url, '#')[1], '/+$', '') AS id, url, lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1)) AS company, lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)) AS path FROM pages),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company, id ORDER BY page_id) AS rn FROM p) WHERE rn = 1),
+scored AS (SELECT *, CASE WHEN page_id % 2 = 0 THEN 100 ELSE 20 END + CASE WHEN regexp_replace(path, '/+$', '') IN ('/career', '/careers', '/jobs', '/vacancies', '/open-positions', '/opportunities', '/join-us', '/work-with-us') THEN 50 ELSE 0 END
+  - CASE WHEN regexp_matches(path, '^/[a-z]{2}(?:-[a-z]{2})?/') THEN 20 ELSE 0 END AS base, len(regexp_extract_all(path, 'career|jobs?\\b|vacanc|karriere|stellen|opening')) AS strong FROM once)
+SELECT page_id, url, CAST(base AS INTEGER) AS base, CAST(strong AS INTEGER) AS strong FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY base DESC, strong DESC, length(url), url) AS place FROM scored) WHERE place <= 3
 """)
 def score_rank(t, spark):
-    u = F.col("url")
-    score = F.when(u.contains("page="), 0).otherwise(20) + F.when(u.contains("#"), 0).otherwise(10) + F.when(u.startswith("https:"), 5).otherwise(0)
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("score"), F.length("url"), "url"))
-    return t("pages").select("page_id", "url", urls.hostname(u).alias("host"), score.alias("score")).select("page_id", "url", "score", place.alias("place"))
+    """The three best pages of each host: those with even ids found on its home page, the others by search."""
+    method = F.when(F.pmod("page_id", F.lit(2)) == 0, "homepage_link").otherwise("search")
+    found = t("pages").select("page_id", urls.hostname(F.col("url")).alias("company"), "url", method.alias("method"), F.col("page_id").alias("ordinal"))
+    return attribution.rank_candidates(found, 3).select("page_id", "url", "base", "strong")
 
 
 _NOISE_SQL = "(" + ", ".join(f"'{w}'" for w in V.NOISE) + ")"
@@ -495,10 +519,10 @@ def html_counts(t, spark):
     return p.select("page_id", F.size("p.links").alias("links"), F.regexp_count("html", F.lit("<li>")).alias("items"), F.col("p.scripts").alias("scripts"))
 
 
-@_query("SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, length(regexp_extract(html, '<h1>(.*?)</h1>', 1)) > 0 AS has_h1 FROM pages")
+@_query("SELECT page_id, trim(regexp_extract(html, '<title>([^<&]*)</title>', 1)) AS title, length(regexp_extract(html, '<h1>(.*?)</h1>', 1)) > 0 AS has_h1 FROM pages WHERE regexp_matches(html, '<title>[^<&]*</title>')")
 def html_title_h1(t, spark):
-    p = t("pages").select("page_id", "html", pages_html.page(F.col("html")).alias("p"))
-    return p.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), (F.size("p.h1") > 0).alias("has_h1"))
+    p = t("pages").where(F.col("html").rlike("<title>[^<&]*</title>")).select("page_id", pages_html.page(F.col("html")).alias("p"))
+    return p.select("page_id", "p.title", (F.size("p.h1") > 0).alias("has_h1"))
 
 
 @_query("SELECT page_id, string_split(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1), '#')[1] || link AS link FROM (SELECT page_id, url, unnest(list_transform(regexp_extract_all(html, '<a href=\"(/[^\"?#]*)\"', 1), lambda x: x)) AS link FROM pages)")
@@ -528,16 +552,16 @@ def page_evidence(t, spark):
     return p.select("page_id", F.round(names.page_evidence(titles, F.col("p.text"), F.col("p.title")), 6).alias("evidence"))
 
 
-@_query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+@_query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k FROM events")
 def json_first_value(t, spark):
-    v = F.try_parse_json("props")
-    return t("events").select("event_id", F.coalesce(F.try_variant_get(v, "$.missing", "string"), F.try_variant_get(v, "$.k", "string")).alias("k"))
+    return t("events").select("event_id", postings.first_value(F.try_parse_json("props"), ["$.missing", "$.k"]).alias("k"))
 
 
-@_query("SELECT event_id, key, json_extract_string(props, '$.' || key) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)")
+@_query("SELECT event_id, CAST(1 AS INTEGER) AS dicts, CAST(len(json_keys(props)) AS INTEGER) AS keys FROM events")
 def json_walk(t, spark):
-    rows = t("events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
-    return rows
+    """Every dict of each event's properties, and how many keys they have."""
+    walked = postings.walked(F.col("props"))
+    return t("events").select("event_id", F.size(walked).alias("dicts"), F.aggregate(walked, F.lit(0), lambda acc, x: acc + F.size(x)).alias("keys"))
 
 
 # ---- incremental ----
@@ -562,18 +586,6 @@ def circuit_breaker(t, spark):
     return relational.breaker_runs(t("events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error", 3).select("user_id", "run", "n")
 
 
-@_query("""
-WITH e AS (SELECT user_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events WHERE event_type = 'error'),
-g AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL 900 SECOND THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS spell FROM e)
-SELECT user_id, CAST(spell AS BIGINT) AS spell, count(*) AS failures FROM g GROUP BY 1, 2 HAVING count(*) >= 2
-""")
-def dead_host_memo(t, spark):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t("events").where("event_type = 'error'").withColumn("before", F.lag("ts").over(w))
-    new = F.col("before").isNull() | (F.col("ts") - F.col("before") > F.expr("INTERVAL 900 SECOND"))
-    return e.withColumn("spell", F.sum(F.when(new, 1).otherwise(0)).over(w)).groupBy("user_id", "spell").agg(F.count("*").alias("failures")).where("failures >= 2")
-
-
 @_query("""
 WITH s AS (SELECT event_type, event_id, length(props) AS size, sum(length(props)) OVER (PARTITION BY event_type ORDER BY ts DESC, event_id ROWS UNBOUNDED PRECEDING) AS total FROM events)
 SELECT event_type, event_id FROM s WHERE total <= 2000
@@ -601,15 +613,15 @@ SELECT p.page_id, k.host, length(k.host) AS cost FROM pages p JOIN k ON lower(re
 def single_flight(t, spark):
     """Computed once per host, joined back to every page of it."""
     rows = t("pages").select("page_id", urls.hostname(F.col("url")).alias("host"))
-    done = rows.select("host").distinct().select(F.col("host").alias("h"), F.length("host").cast("bigint").alias("cost"))
-    return rows.join(done, F.col("host") == F.col("h")).select("page_id", "host", "cost")
+    return attribution.once_per_key(rows, "host", lambda hosts: hosts.select("host", F.length("host").cast("bigint").alias("cost"))).select("page_id", "host", "cost")
 
 
 # ---- whole-page operators: rows only ----
 
 
 def _captured(t):
-    return t("pages").select("url", "html", pages_html.page(F.col("html")).alias("page"))
+    """Pages and what a page holds: parsed once and written, as many branches read it."""
+    return materialize(t("pages").select("url", "html", pages_html.page(F.col("html")).alias("page")), "captured")
 
 
 @_query()

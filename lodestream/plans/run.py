@@ -11,7 +11,8 @@ from ..functions import text, urls
 from ..operators import pages as P
 from ..operators import postings as J
 from ..operators.attribution import rank_candidates
-from ..operators.relational import keep_first, not_done, number_rows, offset_limit, resume_key, shard_block, shard_interleave, top_per_key
+from ..operators.relational import keep_first, not_done, number_rows, offset_limit, resume_key, shard_block, shard_interleave, top_per_key, union_rows
+from ..storage import materialize
 
 
 def select_companies(companies: DataFrame, done: DataFrame | None = None, countries: Sequence[str] = (), shard: tuple[int, int, str] | None = None, offset: int = 0, limit: int | None = None) -> DataFrame:
@@ -39,16 +40,17 @@ def crawl(start: DataFrame, pages: DataFrame, levels: int = 40) -> DataFrame:
     """
     further = P.pagination_links(P.links(pages)).select(urls.identity(F.col("url")).alias("src"), urls.identity(F.col("link")).alias("dst"))
     known = pages.select(urls.identity(F.col("url")).alias("__k")).distinct()
-    seen = start.select("root", urls.identity(F.col("url")).alias("url"), F.lit(0).alias("depth")).dropDuplicates(["root", "url"])
-    front = seen
+    # links between captured pages, written once: every level joins with them alone
+    further = materialize(further.join(known, F.col("dst") == F.col("__k"), "left_semi"), "further")
+    fronts = [materialize(start.select("root", urls.identity(F.col("url")).alias("url"), F.lit(0).alias("depth")).dropDuplicates(["root", "url"]), "front")]
     for depth in range(1, levels + 1):
-        step = front.join(further, F.col("url") == F.col("src")).select("root", F.col("dst").alias("url")).distinct()
-        step = step.join(known, F.col("url") == F.col("__k"), "left_semi").join(seen.select("root", "url"), ["root", "url"], "left_anti")
-        front = step.withColumn("depth", F.lit(depth)).checkpoint() if start.sparkSession.sparkContext.getCheckpointDir() else step.withColumn("depth", F.lit(depth))
+        seen = union_rows(*fronts)
+        step = fronts[-1].join(further, F.col("url") == F.col("src")).select("root", F.col("dst").alias("url")).distinct()
+        front = materialize(step.join(seen.select("root", "url"), ["root", "url"], "left_anti").withColumn("depth", F.lit(depth)), "front")
         if front.isEmpty():
             break
-        seen = seen.unionByName(front)
-    return seen
+        fronts.append(front)
+    return union_rows(*fronts)
 
 
 def candidates(homes: DataFrame, pages: DataFrame, most: int = 500) -> DataFrame:
