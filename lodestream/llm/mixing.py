@@ -87,7 +87,8 @@ def source_rates(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repea
     both = table.join(sums, F.col("source").eqNullSafe(F.col("_source")), "left")
     wanted = F.col("target") - F.floor("rate") * F.col("source_size")
     misses = F.transform("_taken", lambda t, k: F.struct(F.abs(t - wanted).alias("miss"), k.alias("turn")))
-    return both.select("source", "source_size", "target", "rate", F.coalesce(F.array_min(misses)["turn"], F.lit(0)).alias("turn"))
+    turned = both.select("source", "source_size", "target", "rate", F.coalesce(F.array_min(misses)["turn"], F.lit(0)).alias("turn"))
+    return materialize(turned, "turns")  # written, so that Spark knows its size before it plans the join with all documents
 
 
 def _copies(coin: Column, rate: Column, turn: Column) -> Column:
