@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocabulary as V
@@ -34,6 +36,19 @@ def is_hostname(host: Column) -> Column:
     return numeric | named
 
 
+def looks_resolvable(host: Column) -> Column:
+    """Whether a name could resolve at all: no spaces, brackets or commas, a dot (or localhost), at most 253 characters."""
+    h = F.coalesce(host, F.lit(""))
+    return (h == "localhost") | (~h.rlike(r"[ (),]") & (F.length(h) <= 253) & h.contains("."))
+
+
+def resolvable(rows: DataFrame, host: str, answers: DataFrame) -> DataFrame:
+    """rows whose host could resolve and, where a table of answers (host, resolved) says so, does."""
+    known = answers.select(F.col("host").alias("__host"), "resolved")
+    joined = rows.where(looks_resolvable(F.col(host))).join(known, F.col(host) == F.col("__host"), "left")
+    return joined.where(F.coalesce("resolved", F.lit(True))).drop("__host", "resolved")
+
+
 def normalize_website(url: Column) -> Column:
     """https://host, with a port unless it is 80 or 443; empty for what is no host."""
     full = ensure_https(url)
@@ -135,26 +150,27 @@ SHARED_VENDORS = "neogov wttj jobsch interfolio adp".split()
 VENDOR_ALIASES = {"workday hcm": "workday", "my workday": "workday", "smart recruiters": "smartrecruiters", "bamboo hr": "bamboo", "bamboohr": "bamboo", "jazz hr": "jazzhr", "jazz": "jazzhr", "green house": "greenhouse", "sap successfactors": "successfactors", "success factors": "successfactors", "cornerstone ondemand": "cornerstone", "oracle taleo": "taleo", "zoho recruit": "zoho", "ashby hq": "ashby", "ukg": "ultipro", "ukg pro": "ultipro", "adp workforce now": "adp", "pinpoint hq": "pinpoint", "breezy hr": "breezy", "hr manager": "hrmanager"}
 
 
-def _hosts() -> list[tuple[str, str, str]]:
-    return [tuple(x.split()) for line in BOARD_HOSTS.strip().split("\n") for x in line.split("|")]
+def board_hosts(table: str = BOARD_HOSTS) -> list[tuple[str, str, str]]:
+    """(host suffix, vendor, place of the tenant) from a table of that form: entries between bars or line ends."""
+    return [tuple(x.split()) for line in table.strip().split("\n") for x in line.split("|")]
 
 
-def _host_map(column: int) -> Column:
-    pairs = _hosts()
+def _host_map(pairs: Sequence[tuple[str, str, str]], column: int) -> Column:
     return F.map_from_arrays(F.array(*(F.lit(p[0]) for p in pairs)), F.array(*(F.lit(p[column]) for p in pairs)))
 
 
-def vendor(url: Column) -> Column:
+def vendor(url: Column, hosts: Sequence[tuple[str, str, str]] | None = None) -> Column:
     """A struct (vendor, slug) of a board address; empty where its host is no vendor's.
 
     One lookup per host suffix takes the place of a pattern per vendor, so the plan does
-    not grow with the table.
+    not grow with the table; pass a longer one as ``hosts`` (``board_hosts`` reads it).
     """
+    pairs = board_hosts() if hosts is None else hosts
     host = hostname(url)
     labels = F.split(host, r"\.")
     suffixes = F.array(*(F.array_join(F.slice(labels, F.greatest(F.size(labels) - k, F.lit(1)), F.lit(k + 1)), ".") for k in (1, 2)))
-    known = F.get(F.filter(suffixes, lambda s: F.map_contains_key(_host_map(1), s)), 0)
-    name, place = F.try_element_at(_host_map(1), known), F.try_element_at(_host_map(2), known)
+    known = F.get(F.filter(suffixes, lambda s: F.map_contains_key(_host_map(pairs, 1), s)), 0)
+    name, place = F.try_element_at(_host_map(pairs, 1), known), F.try_element_at(_host_map(pairs, 2), known)
     first = F.regexp_extract(path(url), r"^/(?:(?:embed|job_board|en|en-us|j|jobs|careers|o)/)*([^/]+)", 1)
     tenant = F.regexp_extract(host, r"^([^.]+)\.", 1)
     slug = F.when(place == "host", F.when(tenant.isin("www", "jobs", "careers"), "").otherwise(tenant)).otherwise(F.lower(first))
@@ -167,7 +183,7 @@ def canonical_vendor(name: Column) -> Column:
     spaced = F.regexp_replace(raw, "[_-]+", " ")
     squeezed = F.regexp_replace(raw, "[^a-z0-9]+", "")
     aliases = F.map_from_arrays(F.array(*map(F.lit, VENDOR_ALIASES)), F.array(*map(F.lit, VENDOR_ALIASES.values())))
-    names = sorted({p[1] for p in _hosts()})
+    names = sorted({p[1] for p in board_hosts()})
     known = lambda c: F.when(c.isin(names), c)
     return F.coalesce(known(raw), F.try_element_at(aliases, raw), F.try_element_at(aliases, spaced), known(squeezed), F.regexp_replace(raw, "[^a-z0-9]+", "_"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,3 +116,50 @@ def first_filled(rows: DataFrame, key: str, value: str, priority: str) -> DataFr
     """The value of the least priority that is not blank, per key: a ladder of fallbacks as one aggregate."""
     good = F.coalesce(F.trim(F.col(value)), F.lit("")) != ""
     return rows.where(good).groupBy(key).agg(F.min_by(value, priority).alias(value), F.min(priority).alias(priority))
+
+
+def search_chain(results: DataFrame, least: int = 1, most: int = 25) -> DataFrame:
+    """(query, engine, rank, url) that a chain of engines gives: each engine in turn, while those before gave fewer than ``least``.
+
+    results holds what each engine would say (query, engine, rank, url); an address counts
+    once a query, where it stands first, without its fragment; at most ``most`` a query.
+    """
+    plain = results.withColumn("url", F.split_part("url", F.lit("#"), F.lit(1)))
+    once = keep_first(plain, ["query", "url"], ["engine", "rank"])
+    counts = once.groupBy("query", "engine").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy("query").orderBy("engine").rowsBetween(Window.unboundedPreceding, -1)
+    asked = counts.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0))).where(F.col("__before") < least).select("query", "engine")
+    return top_per_key(once.join(asked, ["query", "engine"], "left_semi"), ["query"], ["engine", "rank"], most).select("query", "engine", "rank", "url")
+
+
+def first_selector(links: DataFrame) -> DataFrame:
+    """(page, selector, pos, url) of result pages' links (page, selector, pos, href): those of the first selector that gives any http address, redirects unwrapped."""
+    rows = links.withColumn("url", urls.unwrap(F.col("href"))).where(F.col("url").startswith("http"))
+    first = rows.groupBy("page").agg(F.min("selector").alias("selector"))
+    return rows.join(first, ["page", "selector"], "left_semi").select("page", "selector", "pos", "url")
+
+
+def board_fallback(boards: DataFrame, shared: Sequence[str] = tuple(urls.SHARED_VENDORS)) -> DataFrame:
+    """(company, url, vendor, jobs) of the first board found by name (company, ordinal, url, evidence, jobs) that is the company's and has postings.
+
+    Its slug proves whose it is, else the evidence of its page; boards without a vendor,
+    owner or postings are passed over.
+    """
+    v = urls.vendor(F.col("url"))
+    known = boards.withColumn("vendor", v["vendor"]).withColumn("__slug", v["slug"]).where("vendor != ''")
+    said = names.ownership(F.col("vendor"), F.col("__slug"), F.col("company"), F.col("evidence"), shared)
+    own = known.where(said["accepted"] & (F.coalesce("jobs", F.lit(0)) > 0))
+    return keep_first(own, ["company"], ["ordinal", "url"]).select("company", "url", "vendor", "jobs")
+
+
+def terminal(ended: DataFrame, internet: DataFrame, boards: DataFrame) -> DataFrame:
+    """(company, status, source, jobs) of companies whose own pages gave nothing (company, status, source).
+
+    Postings found on the internet (company, jobs) win, then those of a board found by
+    name (company, jobs); else the status stays, with the evidence for it.
+    """
+    of = lambda df, n: df.groupBy("company").agg(F.max("jobs").alias(n))
+    rows = ended.join(of(internet, "__i"), "company", "left").join(of(boards, "__b"), "company", "left")
+    web, board = F.coalesce("__i", F.lit(0)) > 0, F.coalesce("__b", F.lit(0)) > 0
+    source = F.when(web, "internet-company-name-search").when(board, "ats-board-name-search").otherwise(F.coalesce(F.nullif("source", F.lit("")), F.lit("internet-company-name-search:no-verified-results")))
+    return rows.select("company", F.when(web | board, "ok").otherwise(F.col("status")).alias("status"), source.alias("source"), F.when(web, F.col("__i")).when(board, F.col("__b")).otherwise(F.lit(0)).alias("jobs"))

@@ -81,6 +81,22 @@ def unfence(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
 
 
+EXTRACTION = "seniority string, min_years int, max_years int, salary_disclosed boolean"
+
+
+def process(rows: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """(row_id, result, error) from rows (row_id, text, answer): answers without their fence, parsed and validated; ids that are done are left out.
+
+    What ``sources.sinks.append_results`` writes: results, then their ids, errors aside.
+    """
+    todo = rows if done is None else rows.join(done.select("row_id").distinct(), "row_id", "left_anti")
+    body = unfence(F.coalesce(F.col("answer"), F.lit("")))
+    parsed = F.from_json(F.when(body.startswith("{"), body), EXTRACTION)
+    told = todo.select("row_id", body.alias("result"), parsed.alias("__r"), "text")
+    fault = validate(F.col("__r"), F.col("text"))
+    return told.select("row_id", F.when(fault.isNull(), F.col("result")).alias("result"), fault.alias("error"))
+
+
 def split_errors(rows: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
     """Rows without an error, and those with one."""
     return rows.where(F.col(error).isNull()), rows.where(F.col(error).isNotNull())

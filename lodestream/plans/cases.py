@@ -533,6 +533,52 @@ def internet_fallback(spark):
     return P.verified(asked, pages, postings.from_pages(pages))
 
 
+_CHAIN = [("q", 1, 0, "https://a.com#x"), ("q", 2, 0, "https://a.com"), ("q", 2, 1, "https://b.com"), ("q", 3, 0, "https://c.com"), ("r", 2, 0, "https://d.com"), ("r", 3, 0, "https://e.com")]
+
+
+@_expect("query string, engine int, url string", [("q", 1, "https://a.com"), ("q", 2, "https://b.com"), ("r", 2, "https://d.com"), ("r", 3, "https://e.com")])
+def chained_search(spark):
+    """Two results wanted: the first query stops after its second engine, the other after its third."""
+    return attribution.search_chain(_frame(spark, _CHAIN, "query string, engine int, rank int, url string"), 2)
+
+
+@_expect("page string, url string", [("p", "https://a.com/b"), ("q", "https://c.com")])
+def first_selector_that_yields(spark):
+    rows = [("p", 0, 0, "/relative"), ("p", 1, 0, "https://r.com/?uddg=https%3A%2F%2Fa.com%2Fb"), ("p", 2, 0, "https://z.com"), ("q", 0, 0, "https://c.com"), ("q", 1, 0, "https://d.com")]
+    return attribution.first_selector(_frame(spark, rows, "page string, selector int, pos int, href string"))
+
+
+_truth("resolvable_names", urls.looks_resolvable, {"acme.com": True, "localhost": True, "no dots": False, "a,b.com": False, "nodot": False, "": False}, "boolean")
+
+
+@_expect("host string", [("a.com",), ("new.com",)])
+def resolved_hosts(spark):
+    rows, answers = _frame(spark, [("a.com",), ("gone.com",), ("new.com",), ("bad host",)], "host string"), _frame(spark, [("a.com", True), ("gone.com", False)], "host string, resolved boolean")
+    return urls.resolvable(rows, "host", answers)
+
+
+@_expect("vendor string, slug string", [("ownboard", "acme")])
+def vendors_by_own_table(spark):
+    v = urls.vendor(F.lit("https://jobs.ownboard.example/acme/1"), urls.board_hosts("ownboard.example ownboard path"))
+    return spark.range(1).select(v["vendor"].alias("vendor"), v["slug"].alias("slug"))
+
+
+_BOARDS = [("Acme Widgets", 0, "https://other.recruitee.com", 0.1, 5), ("Acme Widgets", 1, "https://acme.recruitee.com", 0.0, 0), ("Acme Widgets", 2, "https://x.recruitee.com", 0.9, 3), ("Acme Widgets", 3, "https://acme.breezy.hr", 0.0, 7), ("Beta Corp", 0, "https://nobody.com", 1.0, 9)]
+
+
+@_expect("company string, url string, vendor string, jobs int", [("Acme Widgets", "https://x.recruitee.com", "recruitee", 3)])
+def board_by_name(spark):
+    """The first board that is the company's, by slug or page, and has postings."""
+    return attribution.board_fallback(_frame(spark, _BOARDS, "company string, ordinal int, url string, evidence double, jobs int"))
+
+
+@_expect("company string, status string, source string, jobs int", [("a", "ok", "internet-company-name-search", 2), ("b", "ok", "ats-board-name-search", 3), ("c", "no_jobs", "said so", 0), ("d", "unreachable", "internet-company-name-search:no-verified-results", 0)])
+def terminal_choice(spark):
+    ended = _frame(spark, [("a", "unreachable", ""), ("b", "unsupported", "x"), ("c", "no_jobs", "said so"), ("d", "unreachable", "")], "company string, status string, source string")
+    jobs = lambda rows: _frame(spark, rows, "company string, jobs int")
+    return attribution.terminal(ended, jobs([("a", 2), ("c", 0)]), jobs([("a", 9), ("b", 3)]))
+
+
 # ---- runs, exports, incremental work ----
 
 
@@ -647,6 +693,12 @@ def page_verdicts(spark):
     return rows.select(said["closed"].alias("closed"), said["reason"].alias("reason"))
 
 
+@_expect("row_id string, result string, error string", [("1", '{"seniority": "Senior", "min_years": 3}', None), ("2", None, "seniority is not in the list"), ("3", None, "not an object")])
+def processed_answers(spark):
+    rows = [("0", "x", "{}"), ("1", "x", '```json\n{"seniority": "Senior", "min_years": 3}\n```'), ("2", "x", '{"seniority": "Boss"}'), ("3", "x", "sorry")]
+    return incremental.process(_frame(spark, rows, "row_id string, text string, answer string"), _frame(spark, [("0",)], "row_id string"))
+
+
 # ---- streams over stated events ----
 
 _AT = [("a", i, i, True) for i in range(5)] + [("a", 100, 5, False), ("a", 400, 6, False), ("b", 0, 7, False)]

@@ -106,6 +106,30 @@ def test_replacement_survives_a_crash(spark, tmp_path, monkeypatch):
     assert names() == ["e"] and not (tmp_path / "out.swap").exists()
 
 
+def test_command_lines(spark, tmp_path):
+    """From a list and captured pages to rows, sheets, a second look and an audit; a second run adds nothing."""
+    from lodestream.__main__ import main
+
+    (tmp_path / "list.csv").write_text("KEYID,COMPANY_NAME,COUNTRY,WEBSITE,ID_Company,DUNS_NUMBER,PARTY_NAME\n1,Acme,Germany,https://a.com,i,d,P\n2,Beta,USA,https://b.com,i,d,P\n")
+    ld = '<script type="application/ld+json">[{"@type": "JobPosting", "title": "Head of Sales", "url": "https://a.com/j/1"}]</script>'
+    site = {"https://a.com": '<a href="/careers">Careers</a>', "https://a.com/careers": ld, "https://b.com": "hello"}
+    spark.createDataFrame(list(site.items()), "url string, html string").write.parquet(str(tmp_path / "pages"))
+    at = lambda name: str(tmp_path / name)
+    for _ in range(2):
+        main(["run", "--companies", at("list.csv"), "--pages", at("pages"), "--output", at("out")])
+    rows = tables.read_strings(spark, at("out"))
+    assert sorted((r.company_name, r.job_title, r.job_status) for r in rows.collect()) == [("Acme", "Head of Sales", "Active"), ("Beta", "", "Career Page Not Found")]
+    main(["export", "--companies", at("list.csv"), "--scraped", at("out"), "--output", at("sheets"), "--workbook", at("book.xlsx")])
+    assert {r.KEYID: r.status for r in tables.read_strings(spark, at("sheets/coverage")).collect()} == {"1": "Jobs Found", "2": "Career Page Not Found"}
+    spark.createDataFrame([("https://a.com/j/1", 404, "https://a.com/j/1", "", False)], "job_url string, http_status int, final_url string, visible string, has_posting boolean").write.parquet(at("seen"))
+    main(["recheck", "--rows", at("out"), "--responses", at("seen"), "--as-of", "2026-01-10"])
+    assert {r.job_status for r in tables.read_strings(spark, at("out")).collect()} == {"Closed", "Career Page Not Found"}
+    main(["audit", "--rows", at("out"), "--column", "job_status", "--counted", "company_name"])
+    spark.createDataFrame([("1", "x", "{}"), ("2", "x", "no")], "row_id string, text string, answer string").write.parquet(at("answers"))
+    main(["extract", "--answers", at("answers"), "--log", at("log"), "--checkpoint", at("mark"), "--errors", at("bad")])
+    assert [r.row_id for r in tables.read_results(spark, at("log")).collect()] == ["1"]
+
+
 def stream(spark, tmp_path, rows):
     """The rows as a stream of one file per batch."""
     schema = "key string, ts timestamp, event_id long, failed boolean"
