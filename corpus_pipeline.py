@@ -12,15 +12,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestream.llm import mixing, neardup, packing, quality, secrets
+from lodestream.llm import common, mixing, neardup, packing, quality, secrets
 
 
 def reject_low_quality(spark, docs, sf_dir):
     """Documents that the classifier scores at 0.5 or more."""
     whole = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rules = quality.fit(whole, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, rules, name="__score")
-    return scored.where(F.col("__score") >= 0.5).drop("__score")
+    mark = common.free_name("score", docs.columns)
+    scored = quality.score(docs, rules, name=mark)
+    return scored.where(F.col(mark) >= 0.5).drop(mark)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
@@ -55,8 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """The stages applied to ``documents``."""
+    """The stages applied to ``documents``; each is written and read again before the next one, so none is computed twice."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
