@@ -31,8 +31,10 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is never text of the page.
-_RAW = frozenset("script style template noscript iframe svg math object canvas audio video head title textarea".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_RAW = frozenset("script style template noscript iframe svg canvas audio video head title textarea".split())
+#: Those of them that browsers read to the end of the page where the end tag is missing.
+_TO_THE_END = frozenset("script style iframe title textarea".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark object q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mfrac mi mn mo mrow ms msqrt msub msup mtext semantics".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _ALIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
 _SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",), "tbody": ("table",)}
@@ -131,12 +133,12 @@ def blocks(page: str) -> Iterator[tuple[frozenset, str, str, int]]:
             continue
         tag, closing = name.lower(), bool(m[1] or m[4])
         if tag in _RAW and not closing:
-            if token.endswith("/>") and tag in ("svg", "math"):
+            if token.endswith("/>") and tag == "svg":
                 continue
             if tag == "head":  # its text elements are raw themselves; it ends where the body starts
                 continue
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
-            at = stop.end() if stop else end
+            at = stop.end() if stop else end if tag in _TO_THE_END else at
             continue
         if tag == "br":
             text.append(" ")
