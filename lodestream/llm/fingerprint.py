@@ -193,25 +193,15 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     carry = {}
     for i, s in enumerate(order):
         carry.setdefault(tops[order[(i + 1) % len(order)]], []).append(s)
-    target = F.lit(None).cast("array<int>")
-    for top, shares in carry.items():
-        here = F.col("doc_id").isNull() if top is None else F.col("doc_id") == top
-        target = F.when(here, F.array(*(F.lit(s) for s in shares))).otherwise(target)
-    firsts = F.col("doc_id").isin([top for top in carry if top is not None])
-    firsts = firsts | F.col("doc_id").isNull() if None in carry else firsts
-    carried = rows.where(firsts).select("doc_id", "text", F.explode(target).alias("share"), F.lit(True).alias("carried")) if len(carry) <= 64 else _carried(rows, carry)
+    # a row per range meets the rows by an equi-join, which keeps a missing id, too
+    table = rows.sparkSession.createDataFrame([(top, s) for top, shares in carry.items() for s in shares], "top long, share int")
+    carried = rows.join(table, F.col("doc_id").eqNullSafe(F.col("top"))).select("doc_id", "text", "share", F.lit(True).alias("carried"))
     both = dealt.withColumn("carried", F.lit(False)).unionByName(carried)
     both = both.repartitionById(n, F.col("share")).sortWithinPartitions("carried", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
     kinds = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return both.select("doc_id", "text", "carried").mapInArrow(_worker, kinds)
 
 
-def _carried(rows: DataFrame, carry: dict) -> DataFrame:
-    """The carried rows by a join, where there are many ranges; a row per range is broadcast."""
-    table = rows.sparkSession.createDataFrame([(top, s) for top, shares in carry.items() for s in shares], "top long, share int")
-    return rows.join(F.broadcast(table), F.col("doc_id").eqNullSafe(F.col("top"))).select("doc_id", "text", "share", F.lit(True).alias("carried"))
-
-
 def op5_fingerprint(spark, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and their likenesses."""
     return compare(spark.read.parquet(f"{sf_dir}/documents.parquet"))
