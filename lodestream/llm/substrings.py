@@ -5,7 +5,7 @@ Two equal windows of ``WIDTH`` words, wherever they stand, share an anchor: the
 it, and an anchor of 8 words shifted by at most 12 lies within 20 words.  So only
 anchors at cover positions are hashed and shuffled (4 of 13 positions).  Those that
 occur again mark where passages may repeat; around them the match is extended to whole
-windows, which are hashed with 96 bits and judged: a window whose words start earlier
+windows, which are hashed with 96 bits (of word hashes of 64) and judged: a window whose words start earlier
 elsewhere is removed.
 
 Shape of the job.  Texts that a smaller id has word for word are found by a minimum per
@@ -37,8 +37,13 @@ WIDTH, ANCHOR, PERIOD, COVER = 20, 8, 13, (0, 1, 3, 9)
 PART_BYTES = 16 << 20
 #: Bytes of text that a map task looks at together.
 CHUNK_BYTES = 16 << 20
+#: Most parts that a task deals its blocks to at once.  Beyond, they are dealt twice, to the root of their number each
+#: time: blocks grow as the power 1.5 of the input, not as its square.
+FAN = 1024
 _ON_COVER = np.isin(np.arange(PERIOD), COVER)
 _LOWEST = -(1 << 63)
+#: Columns of an anchor (lower 32 bits, next 16, place, whether it asks) and of a window (64 bits, 32 more, place).
+_ANCHORS, _WINDOWS = ("<u4", "<u2", "<u4", "<u1"), ("<u8", "<u4", "<u4")
 _BLOCKS = "part int, block binary"
 _ANSWERS = "id long, print long, at binary"
 
@@ -81,11 +86,25 @@ def _unpack(block: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _answer(ids: np.ndarray, prints: np.ndarray, at: np.ndarray, parts: int):
+def _ways(parts: int, fan: int) -> tuple[int, int]:
+    """How many parts blocks are dealt to at first, and how many each of those is dealt to then."""
+    if parts <= fan:
+        return parts, 1
+    root = int(parts**0.5) + 1
+    return root, -(-parts // root)
+
+
+def _home(ids: np.ndarray, first: int, then: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each id, at first and then."""
+    h = mix64(ids.view(np.uint64))
+    return ((h >> np.uint64(32)) % np.uint64(first)).astype(np.int64), ((h & np.uint64(0xFFFFFFFF)) % np.uint64(then)).astype(np.int64)
+
+
+def _answer(ids: np.ndarray, prints: np.ndarray, at: np.ndarray, first: int):
     """Answers as blocks again, dealt by id: a row for each part, however many texts it is about."""
     import pyarrow as pa
 
-    part = (mix64(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    part = _home(ids, first, 1)[0]
     order = np.lexsort((at, prints, ids, part))
     ids, prints, at, part = ids[order], prints[order], at[order].astype(np.uint32), part[order]
     new = np.ones(len(ids), bool)
@@ -127,11 +146,11 @@ def _read_block(block: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def _emit(parts: int, ids: np.ndarray, prints: np.ndarray, keys: np.ndarray, owner: np.ndarray, columns: list[np.ndarray], echo: tuple[np.ndarray, np.ndarray], salt: int):
-    """Blocks of one batch: entries dealt by key; echoes, which are answers already, dealt by salt."""
+    """Blocks of one batch: entries dealt by the upper bits of their key; echoes, which are answers already, dealt by salt."""
     import pyarrow as pa
 
     rows, blocks = [], []
-    part = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    part = ((keys >> np.uint64(48)) % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((owner, part))  # owners in order pack better
     for rows_of in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
         rows.append(int(part[rows_of[0]]))
@@ -142,6 +161,51 @@ def _emit(parts: int, ids: np.ndarray, prints: np.ndarray, keys: np.ndarray, own
     return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
 
 
+def _dealt_again(first: int, then: int, kinds: tuple[str, ...], middle):
+    """Blocks of a part dealt to the ``then`` parts it consists of: entries by the bits that ``middle`` gives of their columns, answers by id."""
+
+    def entries(mark: bytes, blocks: list[bytes], parts: list[int]):
+        columns = list(map(np.concatenate, zip(*(_read_block(b, *(kinds if mark == b"\x00" else ("<u4",))) for b in blocks), strict=True)))
+        ids, prints, rest = columns[0], columns[1], columns[2:]
+        part = np.repeat(parts, [len(_unpack(b[9 + 16 * int(np.frombuffer(b[1:9], np.int64)[0]) :], "<u4")[0]) for b in blocks])
+        fine = (middle(*rest) % np.uint64(then)).astype(np.int64) if mark == b"\x00" else _home(ids, first, then)[1]
+        part = part * then + fine
+        # texts are named once a block
+        order = np.lexsort((prints, ids, part))
+        ids, prints, part, rest = ids[order], prints[order], part[order], [c[order] for c in rest]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])
+        owner = np.cumsum(new) - 1
+        for here in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(part)) + 1) if len(ids) else []:
+            yield int(part[here[0]]), _block(mark, ids[new], prints[new], owner[here], [c[here] for c in rest])
+
+    def run(batches):
+        import pyarrow as pa
+
+        held = {b"\x00": ([], []), b"\x01": ([], [])}
+
+        def flush():
+            made = [x for mark, (blocks, parts) in held.items() if blocks for x in entries(mark, blocks, parts)]
+            for blocks, parts in held.values():
+                blocks.clear()
+                parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.binary())], names=["part", "block"])
+
+        size = 0
+        for batch in batches:
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                blocks, parts = held[block[:1]]
+                blocks.append(block)
+                parts.append(part)
+                size += len(block)
+                if size > CHUNK_BYTES:
+                    yield flush()
+                    size = 0
+        yield flush()
+
+    return run
+
+
 def _chunks(batches, columns: int):
     """Columns (id, print, text, ...) of batches, gathered until they hold a few megabytes."""
     held, size = [[] for _ in range(columns)], 0
@@ -183,8 +247,8 @@ def _anchors(parts: int):
             alone[first[count == 1]] = True
             # a key that the batch repeats is sent once, for others to meet, and needs no answer
             asks = alone[first].astype(np.uint8)
-            # 40 bits of a key will do beside the part it is dealt to: a chance match costs a window judged in vain
-            low, high = key[first].astype(np.uint32), (key[first] >> np.uint64(32)).astype(np.uint8)
+            # 48 bits of a key will do beside the part it is dealt to: a chance match costs a window judged in vain
+            low, high = key[first].astype(np.uint32), (key[first] >> np.uint64(32)).astype(np.uint16)
             yield _emit(parts, np.array(ids, np.int64), np.array(prints, np.int64), key[first], owner[first], [low, high, place[first], asks], (owner[~alone], place[~alone]), n)
 
     return run
@@ -200,7 +264,7 @@ def _repeated(parts: int):
                 if block[0]:
                     found.append(_read_block(block, "<u4"))
                 else:
-                    sent.append(_read_block(block, "<u4", "<u1", "<u4", "<u1"))
+                    sent.append(_read_block(block, *_ANCHORS))
         if sent:
             ids, prints, low, high, place, asks = map(np.concatenate, zip(*sent, strict=True))
             key = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
@@ -280,7 +344,7 @@ def _later(parts: int):
                 if block[0]:
                     found.append(_read_block(block, "<u4"))
                 else:
-                    sent.append(_read_block(block, "<u8", "<u4", "<u4"))
+                    sent.append(_read_block(block, *_WINDOWS))
         if sent:
             ids, prints, a, b, place = map(np.concatenate, zip(*sent, strict=True))
             later = ids > _earlier(ids, a, b)
@@ -326,16 +390,23 @@ def _result(keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, part_bytes: int = PART_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, part_bytes: int = PART_BYTES, fan: int = FAN) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) of each row; kept only if keep_text."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, -(-total // part_bytes))
 
-    def dealt(blocks: DataFrame, reduce) -> DataFrame:
-        answers = blocks.repartitionById(parts, F.col("part")).mapInArrow(reduce(parts), _BLOCKS)
-        return answers.repartitionById(parts, F.col("part")).mapInArrow(_merge, _ANSWERS)
+    first, then = _ways(parts, fan)
+
+    def placed(blocks: DataFrame, kinds: tuple[str, ...], middle) -> DataFrame:
+        """Blocks in the partition of their part."""
+        blocks = blocks.repartitionById(first, F.col("part"))
+        return blocks if then == 1 else blocks.mapInArrow(_dealt_again(first, then, kinds, middle), _BLOCKS).repartitionById(first * then, F.col("part"))
+
+    def dealt(blocks: DataFrame, reduce, kinds: tuple[str, ...], middle) -> DataFrame:
+        answers = placed(blocks, kinds, middle).mapInArrow(reduce(first), _BLOCKS)
+        return placed(answers, kinds, middle).mapInArrow(_merge, _ANSWERS)
 
     def joined(left: DataFrame, known: DataFrame, name: str) -> DataFrame:
         """left with the column ``name`` of the texts that known has; texts stay where their exchange put them."""
@@ -350,8 +421,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = keys.join(firsts, F.col("digest") == F.col("_digest")).where("id > first").select("id", "print").distinct().withColumn("copy", F.lit(True))
     marked = joined(rows, copies, "copy")
     fresh = marked.where("copy IS NULL")
-    again = dealt(fresh.select("id", "print", "text").mapInArrow(_anchors(parts), _BLOCKS), _repeated)
-    later = dealt(joined(fresh, again, "at").select("id", "print", "text", "at").mapInArrow(_windows(parts), _BLOCKS), _later)
+    again = dealt(fresh.select("id", "print", "text").mapInArrow(_anchors(first), _BLOCKS), _repeated, _ANCHORS, lambda low, high, *_: high.astype(np.uint64))
+    later = dealt(joined(fresh, again, "at").select("id", "print", "text", "at").mapInArrow(_windows(first), _BLOCKS), _later, _WINDOWS, lambda a, *_: (a >> np.uint64(32)) & np.uint64(0xFFFF))
     kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     found = joined(marked, later, "at").select("id", "print", "text", "at", "copy")
     return found.mapInArrow(_result(keep_text), kinds)
