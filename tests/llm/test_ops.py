@@ -147,6 +147,33 @@ def test_neardup_large_bucket_links_its_parts(spark):
     assert {g.class_id for g in got} == {0}
 
 
+def test_neardup_chain_stays_linear(spark, monkeypatch):
+    """Texts of one chain, each like its neighbours alone, in one bucket: all are linked, and rows shuffled are a few times the texts."""
+    base, n = [f"w{i}" for i in range(400)], 300
+    rows = [(i, " ".join(f"e{i + k}" if k < 12 else base[k] for k in range(260))) for i in range(n)]
+    monkeypatch.setattr(neardup, "bands", lambda signature: np.arange(neardup.BANDS, dtype=np.uint64))
+    sent = []
+    verified = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, texts: sent.append(pairs.count()) or verified(pairs, texts))
+    got = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {g.class_id for g in got} == {0} and sum(sent) < 20 * n
+
+
+def test_neardup_rest_is_exact(spark):
+    """The prefix filter against all pairs: links between labels join what similarity joins."""
+    r, rows = random.Random(9), []
+    pool = [[f"p{k}x{i}" for i in range(30)] for k in range(12)]
+    for i in range(160):
+        words = sum(r.sample(pool, r.randint(2, 6)), []) + [f"own{i}x{j}" for j in range(r.choice([0, 0, 3, 40]))]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame([(i, i, i) for i, _ in rows], "vertex long, print long, label long")
+    texts = common.materialize(spark.createDataFrame([(i, i, t) for i, t in rows], "_id long, _print long, text string"), "t")
+    links = neardup._rest(df, texts)
+    found = {x.id: x.label for x in neardup.components(links).collect()}
+    want = brute_classes(rows)
+    assert {i: found.get(i, i) for i, _ in rows} == want and len(set(want.values())) > 20
+
+
 def test_neardup_of_distinct_and_repeated_shingles(spark):
     words = [f"w{i}" for i in range(100)]
     plain, doubled = " ".join(words), " ".join(words + words[:10])
@@ -313,6 +340,15 @@ def test_fingerprint_pairs(spark):
         assert g.near_edited == fingerprint.likeness(own, changed) and g.near_next == fingerprint.likeness(own, fingerprint.fingerprint(following.encode()))
 
 
+def test_fingerprint_of_many_ranges(spark):
+    """Over a hundred ranges of ids, rows without id and ids that repeat: the same as in one range."""
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randint(0, 300)}" for _ in range(r.randint(0, 60))), "s") for i in [*range(300), 7, 7]] + [(None, "no id", "s"), (None, "none", "s")]
+    one = fingerprint.compare(docs(spark, rows)).select("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next")
+    many = fingerprint.compare(docs(spark, rows), share_bytes=600).select("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next")
+    assert one.exceptAll(many).count() == 0 and many.count() == len(rows)
+
+
 def test_fingerprint_edges(spark):
     rows = docs(spark, EDGE)
     got = fingerprint.compare(rows, share_bytes=100).collect()
@@ -403,6 +439,14 @@ def test_fast_ids_equal_slow_ids(text):
 # ---- 7: extraction ----
 
 
+def test_fast_ids_equal_slow_ids_on_whole_documents():
+    """Every text of the table by both libraries."""
+    encoder = packing.Encoder()
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    slow = encoder.slow.encode_batch(texts, add_special_tokens=False)
+    assert len(texts) > 9000 and all(encoder.ids(t) == s.ids for t, s in zip(texts, slow, strict=True))
+
+
 def test_chain_on_pages_it_has_not_seen():
     chain = extraction.default_chain()
     pages = [extraction.labelled(p) for p in extraction.labelled_pages(150, seed=77)]
@@ -433,6 +477,16 @@ def test_extraction_of_a_page(spark):
 # ---- 8: substrings ----
 
 
+@pytest.mark.parametrize("tag", ["svg", "object", "noscript", "canvas", "audio", "video", "template", "math"])
+def test_an_unclosed_tag_drops_no_text(tag):
+    page = f"<article><p>First words.</p><{tag} x=1><p>Last words.</p></article>"
+    assert [b[2] for b in extraction.blocks(page)] == ["First words.", "Last words."]
+
+
+def test_formulas_stay_in_their_sentence():
+    assert [b[2] for b in extraction.blocks("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then <object>y</object>.</p><p>a<svg><title>no</title></svg>b</p>")] == ["If x=1 then y.", "ab"]
+
+
 def brute_removal(rows):
     first, words = {}, [(i, WORD.findall(t or "")) for i, t in rows]
     for i, w in words:
@@ -459,8 +513,10 @@ def test_repeats_removed(spark, seed):
         a = r.randint(0, 30)
         rows.append((i, " ".join(own(40) + passage[a : a + r.randint(10, 40)] + own(30) + (passage[:25] if i % 5 == 0 else []))))
     rows += [(5, rows[7][1]), (100, None), (101, ""), (102, "a " * 300)]
-    got = substrings.remove_repeats(docs(spark, [(i, t, "s") for i, t in rows]), part_bytes=2000)
-    assert sorted((g.doc_id, g.n_words, g.n_removed, g.kept_sha256) for g in got.collect()) == brute_removal(rows)
+    want = brute_removal(rows)
+    for fan in (1024, 3):  # dealt at once, and in two steps
+        got = substrings.remove_repeats(docs(spark, [(i, t, "s") for i, t in rows]), part_bytes=2000, fan=fan)
+        assert sorted((g.doc_id, g.n_words, g.n_removed, g.kept_sha256) for g in got.collect()) == want
 
 
 def test_cover_aligns_every_pair():

@@ -35,3 +35,21 @@ def test_run_and_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert docs.count() == 0
+
+
+def test_stages_on_hard_rows(spark):
+    """Nulls in every column, empty and very long texts, ids that repeat, and extra columns named like what operators use."""
+    long = "lorem ipsum dolor sit amet " * 20000
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "one two three four five six", "en", "b", 27), (3, "one two three four five six", "en", "b", 27), (4, " \t\n", None, "b", 4), (None, "no id here, really none at all", "de", None, 30), (5, long, "en", "a", len(long)), (6, "token = \"0123456789abcdef0123456789abcdef01234567\" and words", "en", "a", 60)]
+    extra = {"mark": "kept", "score": "kept", "mix_rate": "kept", "RAW": "kept", "later": "kept", "label": "kept"}
+    docs = spark.createDataFrame([(*r, *extra.values()) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    for name, stage in corpus_pipeline.STAGES:
+        made = common.materialize(stage(spark, docs, "/root/testdata/sf0.001"), "hard")
+        if name != "packing":
+            assert made.columns == docs.columns and made.where(" or ".join(f"{c} <> 'kept'" for c in extra)).count() == 0
+        if name == "near-duplicates":
+            assert sorted((r.doc_id is not None, r.doc_id or 0) for r in made.collect()) == sorted((i is not None, i or 0) for i in (1, 3, 3, None, 5, 6))
+        if name == "quality classifier":
+            continue  # whatever it keeps, the next stages are given all rows
+        docs = made
+    assert docs.count() > 0
