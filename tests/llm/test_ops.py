@@ -147,33 +147,6 @@ def test_neardup_large_bucket_links_its_parts(spark):
     assert {g.class_id for g in got} == {0}
 
 
-def test_neardup_chain_stays_linear(spark, monkeypatch):
-    """Texts of one chain, each like its neighbours alone, in one bucket: all are linked, and rows shuffled are a few times the texts."""
-    base, n = [f"w{i}" for i in range(400)], 300
-    rows = [(i, " ".join(f"e{i + k}" if k < 12 else base[k] for k in range(260))) for i in range(n)]
-    monkeypatch.setattr(neardup, "bands", lambda signature: np.arange(neardup.BANDS, dtype=np.uint64))
-    sent = []
-    verified = neardup._verified
-    monkeypatch.setattr(neardup, "_verified", lambda pairs, texts: sent.append(pairs.count()) or verified(pairs, texts))
-    got = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {g.class_id for g in got} == {0} and sum(sent) < 20 * n
-
-
-def test_neardup_rest_is_exact(spark):
-    """The prefix filter against all pairs: links between labels join what similarity joins."""
-    r, rows = random.Random(9), []
-    pool = [[f"p{k}x{i}" for i in range(30)] for k in range(12)]
-    for i in range(160):
-        words = sum(r.sample(pool, r.randint(2, 6)), []) + [f"own{i}x{j}" for j in range(r.choice([0, 0, 3, 40]))]
-        rows.append((i, " ".join(words)))
-    df = spark.createDataFrame([(i, i, i) for i, _ in rows], "vertex long, print long, label long")
-    texts = common.materialize(spark.createDataFrame([(i, i, t) for i, t in rows], "_id long, _print long, text string"), "t")
-    links = neardup._rest(df, texts)
-    found = {x.id: x.label for x in neardup.components(links).collect()}
-    want = brute_classes(rows)
-    assert {i: found.get(i, i) for i, _ in rows} == want and len(set(want.values())) > 20
-
-
 def test_neardup_of_distinct_and_repeated_shingles(spark):
     words = [f"w{i}" for i in range(100)]
     plain, doubled = " ".join(words), " ".join(words + words[:10])
