@@ -170,33 +170,43 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row.
 
     The next document is the one that follows by descending id; the last is followed by
-    the first.  Texts are shuffled once, into ranges of ids.  The first row of each range
-    is sent to the range before it as well, so that its last row meets its next: one row
-    per range, found by a maximum per range.
+    the first.  Texts are dealt in one pass and shuffled once, into ranges of ids.  The first row
+    of each range goes to the range before it as well, so that its last row meets its
+    next: one row per range, told by the highest id of each range.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    bounds = _bounds(rows, share_bytes, sample)
+    bounds = np.array(_bounds(rows, share_bytes, sample), "int64")
     n = len(bounds) + 1
+    key, missing = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()
+
+    def shares(key, missing):
+        # the highest ids come first
+        return np.where(missing, n - 1, n - 1 - np.searchsorted(bounds, key, "right"))
 
     @F.pandas_udf("int")
-    def share_of(key):
+    def share_of(key, missing):
         import pandas as pd
 
-        # the highest ids come first
-        return pd.Series((n - 1 - np.searchsorted(np.array(bounds, "int64"), key.to_numpy(), "right")).astype("int32"))
+        return pd.Series(shares(key.to_numpy(), missing.to_numpy()))
 
-    share = F.when(F.col("doc_id").isNull(), F.lit(n - 1)).otherwise(share_of(F.coalesce("doc_id", F.lit(0)))) if bounds else F.lit(0)
-    dealt = rows.withColumn("share", share.cast("int"))
     # one row per range: as few as there are tasks
-    tops = {r.share: r.top for r in dealt.groupBy("share").agg(F.max("doc_id").alias("top")).collect()}
-    order = sorted(tops)
-    carry = {}
-    for i, s in enumerate(order):
-        carry.setdefault(tops[order[(i + 1) % len(order)]], []).append(s)
-    # a row per range meets the rows by an equi-join, which keeps a missing id, too
-    table = rows.sparkSession.createDataFrame([(top, s) for top, shares in carry.items() for s in shares], "top long, share int")
-    carried = rows.join(table, F.col("doc_id").eqNullSafe(F.col("top"))).select("doc_id", "text", "share", F.lit(True).alias("carried"))
-    both = dealt.withColumn("carried", F.lit(False)).unionByName(carried)
+    found = rows.groupBy(share_of(key, missing).alias("share")).agg(F.max("doc_id").alias("top")).orderBy("share").collect()
+    tops, nameless, before = np.zeros(n, "int64"), np.zeros(n, bool), np.zeros(n, "int64")
+    for i, r in enumerate(found):
+        tops[r.share], nameless[r.share], before[r.share] = r.top or 0, r.top is None, found[i - 1].share
+
+    @F.pandas_udf("share int, before int")
+    def places(key, missing):
+        import pandas as pd
+
+        missing = missing.to_numpy()
+        share = shares(key.to_numpy(), missing)
+        first = (key.to_numpy() == tops[share]) & (missing == nameless[share])
+        return pd.DataFrame({"share": share, "before": np.where(first, before[share], -1)})
+
+    own, ahead = (F.struct(F.col(f"at.{c}").alias("share"), F.lit(c == "before").alias("carried")) for c in ("share", "before"))
+    spots = F.when(F.col("at.before") < 0, F.array(own)).otherwise(F.array(own, ahead))
+    both = rows.withColumn("at", places(key, missing)).select("doc_id", "text", F.explode(spots).alias("spot")).select("doc_id", "text", "spot.share", "spot.carried")
     both = both.repartitionById(n, F.col("share")).sortWithinPartitions("carried", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
     kinds = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return both.select("doc_id", "text", "carried").mapInArrow(_worker, kinds)

@@ -322,6 +322,14 @@ def test_fingerprint_of_many_ranges(spark):
     assert one.exceptAll(many).count() == 0 and many.count() == len(rows)
 
 
+def test_fingerprint_shuffles_texts_once(spark):
+    """However many ranges, one exchange and one reading: the first rows of ranges travel with the others."""
+    rows = docs(spark, [(i, f"text {i} " * 20, "s") for i in range(200)])
+    plan = fingerprint.compare(rows, share_bytes=600)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange", plan)) == 1 and not re.search("Join|Union", plan)
+    assert len(re.findall("ArrowEvalPython", plan)) == 1
+
+
 def test_fingerprint_edges(spark):
     rows = docs(spark, EDGE)
     got = fingerprint.compare(rows, share_bytes=100).collect()
