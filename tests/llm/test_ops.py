@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -570,6 +571,36 @@ def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
     assert recall > 0.9 and sum(r.entered for r in graph) <= neighbours.SETTLED * total * neighbours.DEGREE
 
 
+def test_steps_of_a_search_and_its_shuffle_files(spark, monkeypatch):
+    """Trees, slices and groups one after the other find what brute force finds; no step's shuffle files outlive it."""
+    for name, value in {"STEP_BYTES": 600_000, "TOGETHER": 1, "BEAM": 64}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    steps, write = collections.Counter(), neighbours.materialize
+    monkeypatch.setattr(neighbours, "materialize", lambda df, name: steps.update([name]) or write(df, name))
+    v = np.random.default_rng(4).normal(size=(300, 16)).astype(np.float32)
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getPath() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files) if f.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    found = neighbours.search(vectors(spark, [(i, x.tolist(), 0, 0) for i, x in enumerate(v)]))
+    for _ in range(50):  # they are removed beside the session's work
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert steps["cells"] > 2 and steps["offers"] >= 2 * neighbours.ROUNDS
+    got, v = collections.defaultdict(list), v.astype(float)
+    for g in found.orderBy("query_id", "rank").collect():
+        assert math.isclose(g.score, v[g.query_id] @ v[g.vec_id], abs_tol=1e-12)
+        got[g.query_id].append(g.vec_id)
+    assert sorted(got) == list(range(0, 300, 20))
+    want = {q: [int(i) for i in np.argsort(-(v @ v[q]), kind="stable") if i != q][:20] for q in got}
+    assert sum(len(set(got[q]) & set(want[q])) for q in got) >= 0.9 * 20 * len(got)
+
+
 def test_vectors_that_take_no_part_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1, 1), (20, None, 1, 1), (40, [0.0, 0.0], 1, 1), (3, [nan, 1.0], 1, 1), (4, [inf, 1.0], 1, 1), (5, [None, 1.0], 1, 1), (None, [1.0, 1.0], 1, 1), (6, [], 1, 1), (7, [1.0, 2.0, 3.0], 1, 1)] + [(100 + i, [1.0, 0.0], 1, 1) for i in range(30)] + [(60, [0.0, 1.0], 1, 1), (61, [2.0, 0.5], 1, 1)]
