@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import rules
 from lodestream.functions import vocabulary as V
 from lodestream.operators import relational
-from lodestream.plans import cases
+from lodestream.plans import cases, catalog
 
 
 @pytest.mark.parametrize("name", sorted(cases.queries()))
@@ -39,6 +39,11 @@ def test_guards_change_nothing(spark, table):
     assert df.where(~rules.first_match(F.col("t"), table).eqNullSafe(plain.otherwise(F.lit("")))).count() == 0
 
 
+def test_labels_are_of_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "x " * 30_000 + "Vollzeit nurse")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in catalog.queries()["classify_documents"](spark, str(tmp_path)).collect()] == [(1, "Full Time", "Healthcare")]
+
+
 def test_unions_and_sizes(spark):
     a, b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), spark.createDataFrame([(2,), (3,)], "k int")
     assert relational.union_rows(a, b).count() == 4
