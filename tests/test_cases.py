@@ -44,6 +44,22 @@ def test_labels_are_of_whole_texts(spark, tmp_path):
     assert [tuple(r) for r in catalog.queries()["classify_documents"](spark, str(tmp_path)).collect()] == [(1, "Full Time", "Healthcare")]
 
 
+def test_labels_of_whole_texts_are_those_of_sql(spark, tmp_path):
+    """Rules at the end of long texts, and letters beyond ASCII beside and within words."""
+    import random
+
+    r = random.Random(5)
+    pieces = "Full time FTE intern stage temp PRN b2b analyst system software nurse pharmacy Verkäufer VERKÄUFER verkäuferin hr legal it support help desk".split() + ["é", "ß", "ſ", "\u212a", "İ", "ı", "\u0301", "_", "-", "/", " ", " ", "\n", "\r", "\t", "\x0b", "\xa0", "\u2028", "ſales", "wor\u212aing student", "as\x0bneeded", "as\nneeded", "İT support", "ıntern", "analyst\rsystem", "analyst\nsystem", "éstage", "stageé", "interné", "xſecretary", "ſecretary", "chef", "chefs"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(0, 7))) for _ in range(3000)] + [None, "", "x " * 30_000 + "Vollzeit nurse"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {row.doc_id: tuple(row)[1:] for row in catalog.queries()["classify_documents"](spark, str(tmp_path)).collect()}
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = {i: (a, b) for i, a, b in db.sql(catalog.oracle_sql()["classify_documents"]).fetchall()}
+    assert got[len(texts) - 1] == ("Full Time", "Healthcare")
+    assert {i: (texts[i], got[i], want[i]) for i in want if got[i] != want[i]} == {} and len(got) == len(texts)
+
+
 def test_unions_and_sizes(spark):
     a, b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), spark.createDataFrame([(2,), (3,)], "k int")
     assert relational.union_rows(a, b).count() == 4
