@@ -2,7 +2,9 @@
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestream.functions import html
 from lodestream.operators import pages as P
@@ -27,6 +29,17 @@ def test_links(spark):
     assert (order.a, order.b) == ([3, 0, 1, 2, 4], [0, 1, 2, 3, 4])
 
 
+def test_structs_of_a_large_batch_are_made_a_few_at_a_time(spark):
+    """What a task holds doesn't grow with the batches that pages come in; fields asked for are those of the whole struct."""
+    whole = StructType.fromDDL(html.PAGE)
+    made = list(html._structs(pa.array(["<a href=/x>x</a>"] * 1000 + [None] + ["<p>" + "x" * html.HELD_BYTES] * 3), whole))
+    assert sum(map(len, made)) == 1004 and max(map(len, made)) <= html.HELD_PAGES and [len(x) for x in made[-2:]] == [1, 1]
+    body = '<title>t</title><meta name="k" content="v"><h1>h</h1><a href="/a">A</a><div itemscope itemtype="T"><i itemprop="p">q</i></div><table><tr><td>c</td></tr></table><script>1</script>'
+    df = spark.createDataFrame([(i, body if i % 3 else None) for i in range(200)], "i long, html string").repartition(1)
+    rows = df.select("i", html.page(F.col("html")).alias("p"), html.page(F.col("html"), "links", "scripts").alias("few")).collect()
+    assert all(r.p.asDict(True) == html.read_page(body if r.i % 3 else None) and (r.few.links, r.few.scripts, len(r.few)) == (r.p.links, r.p.scripts, 2) for r in rows) and len(rows) == 200
+
+
 def test_details(spark):
     page = "<h1>Cook</h1><dl><dt>Location</dt><dd>Rome</dd></dl><p><b>Job type</b>: Full time</p><p>Deadline: 3/4/2026</p><p>" + "We cook good food here. " * 8 + "Apply now.</p>"
     df = captured(spark, {"u": page, "v": "<h1>Cook</h1>short", "hr": '<meta property="og:title" content="Chef"><meta name="keywords" content="a, Oslo, Norway, z"><p>Deadline: 05-06-2026</p>'})
