@@ -571,6 +571,31 @@ def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
     assert recall > 0.9 and sum(r.entered for r in graph) <= neighbours.SETTLED * total * neighbours.DEGREE
 
 
+def test_lists_are_merged_without_a_loop_over_nodes(monkeypatch):
+    """Groups stay whole across batches, whatever their size; what is merged is what a loop over nodes finds."""
+    monkeypatch.setattr(neighbours, "HELD", 100)
+    r, rows = np.random.default_rng(6), []
+    for node in range(60):
+        for k in range(int(r.integers(1, 6)) if node != 30 else 200):
+            ids = r.choice(80, int(r.integers(0, 12)), replace=False).astype(np.int64)
+            rows.append((node, ids.tobytes(), (ids * 7 % 13).astype(np.float32).tobytes(), (ids % 2 == 0).tobytes() if k == 0 else None))
+    batches = [neighbours._rows(neighbours._GRAPH, rows[i : i + 7]) for i in range(0, len(rows), 7)]
+    whole = [b.slice(edges[i], edges[i + 1] - edges[i]).column(0).to_pylist() for b, edges in neighbours._whole(batches, ["node"], "ids") for i in range(len(edges) - 1)]
+    assert [set(x) for x in whole] == [{n} for n in range(60)] and sum(map(len, whole)) == len(rows)
+    got = {n: tuple(x) for b in neighbours._merge(None)(batches) for n, *x in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    for node in range(60):
+        best = {}
+        for n, ids, scores, fresh in rows:
+            if n == node:
+                new = [True] * len(ids) if fresh is None else np.frombuffer(fresh, bool).tolist()
+                for i, x, f in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(scores, np.float32).tolist(), new, strict=False):
+                    best.setdefault(i, (x, f, fresh is None))
+        order = sorted(best, key=lambda i: (-best[i][0], i))[: neighbours.DEGREE]
+        ids, scores, fresh, entered = got[node]
+        assert np.frombuffer(ids, np.int64).tolist() == order and np.frombuffer(scores, np.float32).tolist() == [best[i][0] for i in order]
+        assert np.frombuffer(fresh, bool).tolist() == [best[i][1] for i in order] and entered == sum(best[i][2] for i in order)
+
+
 def test_steps_of_a_search_and_its_shuffle_files(spark, monkeypatch):
     """Trees, slices and groups one after the other find what brute force finds; no step's shuffle files outlive it."""
     for name, value in {"STEP_BYTES": 600_000, "TOGETHER": 1, "BEAM": 64}.items():
